@@ -54,15 +54,14 @@ def iso_weekday(ts: Column) -> Column:
 
 
 def day_third(hour: Column) -> Column:
-    """1 before 08:00, 2 until 18:00, 3 afterwards."""
-    return F.when(hour.isNull(), F.lit(None)).when(hour < 8, 1).when(hour < 18, 2).otherwise(3)
+    """1 before 08:00, 2 until 18:00, 3 afterwards or unknown."""
+    return F.when(hour < 8, 1).when(hour < 18, 2).otherwise(3)
 
 
 def day_quarter(hour: Column) -> Column:
-    """2 from 06:00, 3 from 12:00, 4 from 18:00 to 22:59; the rest of the night is 1."""
+    """2 from 06:00, 3 from 12:00, 4 from 18:00 to 22:59; the rest, and unknown, is 1."""
     return (
-        F.when(hour.isNull(), F.lit(None))
-        .when((hour >= 6) & (hour < 12), 2)
+        F.when((hour >= 6) & (hour < 12), 2)
         .when((hour >= 12) & (hour < 18), 3)
         .when((hour >= 18) & (hour < 23), 4)
         .otherwise(1)
