@@ -1,0 +1,24 @@
+"""All registered queries."""
+
+from __future__ import annotations
+
+import importlib
+
+from cartlens.catalog import registry
+
+MODULES = ("cleaning", "scalars", "joins")
+
+
+def _load() -> None:
+    for name in MODULES:
+        importlib.import_module(f"cartlens.catalog.{name}")
+
+
+def queries():
+    _load()
+    return dict(registry.QUERIES)
+
+
+def oracle_sql():
+    _load()
+    return dict(registry.ORACLES)

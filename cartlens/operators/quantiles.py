@@ -64,7 +64,7 @@ def exact_quantiles(
         rows = (
             counted.filter(F.col("column").isin(narrow))
             .groupBy("column")
-            .agg(F.percentile("value", [float(p) for p in probabilities], "n").alias("q"))
+            .agg(F.percentile("value", [float(p) for p in probabilities], F.col("n")).alias("q"))
             .collect()
         )
         for r in rows:

@@ -35,6 +35,8 @@ def local_session(app: str = "cartlens", cores: str = "*", memory: str = "8g", s
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # call-site capture on every Column call costs more than the small queries themselves
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -12,172 +12,163 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 RawReader = Callable[[str], DataFrame]
 
 MONTH_CUTOFF = "2001-07"
 
+RAW_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 def batch_reader(spark: SparkSession, folder: str) -> RawReader:
-    return lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
+    return lambda name: spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def stream_reader(spark: SparkSession, folder: str) -> RawReader:
     """Each raw table as a file stream over the same files."""
 
     def read(name: str) -> DataFrame:
-        schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-        return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+        stream = spark.readStream.schema(RAW_SCHEMAS[name])
+        return stream.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
     return read
 
 
-def _hours(n: Column | int) -> Column:
-    hours = n if isinstance(n, Column) else F.lit(n)
-    return F.make_dt_interval(F.lit(0), hours.cast("int"))
+def _hours(n: str) -> str:
+    return f"make_dt_interval(0, cast({n} as int))"
+
+
+def _nation(raw: RawReader, table: str, key: str) -> DataFrame:
+    nations = raw("nation").select("n_nationkey", "n_name")
+    return raw(table).join(nations.withColumnRenamed("n_nationkey", key), key)
 
 
 def orders(raw: RawReader) -> DataFrame:
-    key = F.col("o_orderkey")
-    bought = F.col("o_orderdate").cast("timestamp")
-    status = F.col("o_orderstatus")
-    return raw("orders").select(
-        key.alias("order_id"),
-        key.alias("customer_id"),
-        F.when(status == "F", "delivered").when(status == "O", "shipped").otherwise("processing").alias("order_status"),
-        bought.alias("order_purchase_timestamp"),
-        (bought + _hours(36 + key % 24)).alias("order_approved_at"),
-        (bought + _hours(48 + key % 72)).alias("order_delivered_carrier_date"),
-        F.when(key % 13 != 0, bought + _hours((key % 41) * 19)).alias("order_delivered_customer_date"),
-        (bought + _hours(600)).alias("order_estimated_delivery_date"),
+    bought = "cast(o_orderdate as timestamp)"
+    return raw("orders").selectExpr(
+        "o_orderkey as order_id",
+        "o_orderkey as customer_id",
+        "case o_orderstatus when 'F' then 'delivered' when 'O' then 'shipped' else 'processing' end as order_status",
+        f"{bought} as order_purchase_timestamp",
+        f"{bought} + {_hours('36 + o_orderkey % 24')} as order_approved_at",
+        f"{bought} + {_hours('48 + o_orderkey % 72')} as order_delivered_carrier_date",
+        f"if(o_orderkey % 13 <> 0, {bought} + {_hours('(o_orderkey % 41) * 19')}, null) as order_delivered_customer_date",
+        f"{bought} + {_hours('600')} as order_estimated_delivery_date",
     )
 
 
 def customers(raw: RawReader, raw_static: RawReader | None = None) -> DataFrame:
     """One row per order (customer_id) with the person behind it."""
-    static = raw_static or raw
-    people = static("customer").join(static("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return (
-        raw("orders")
-        .select("o_orderkey", "o_custkey")
-        .join(people, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.col("o_orderkey").alias("customer_id"),
-            F.col("o_custkey").alias("customer_unique_id"),
-            (F.col("c_custkey") % 1000).cast("int").alias("customer_zip_code_prefix"),
-            F.concat(F.lit("CITY_"), F.col("c_custkey") % 40).alias("customer_city"),
-            F.col("n_name").alias("customer_state"),
-        )
+    people = _nation(raw_static or raw, "customer", "c_nationkey")
+    placed = raw("orders").selectExpr("o_orderkey", "o_custkey as c_custkey")
+    return placed.join(people, "c_custkey").selectExpr(
+        "o_orderkey as customer_id",
+        "c_custkey as customer_unique_id",
+        "cast(c_custkey % 1000 as int) as customer_zip_code_prefix",
+        "concat('CITY_', c_custkey % 40) as customer_city",
+        "n_name as customer_state",
     )
 
 
 def order_items(raw: RawReader) -> DataFrame:
-    freight = F.round(F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_tax").cast("decimal(4,2)"), 2)
-    return raw("lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").cast("timestamp").alias("shipping_limit_date"),
-        F.col("l_extendedprice").alias("price"),
-        freight.cast("double").alias("freight_value"),
+    return raw("lineitem").selectExpr(
+        "l_orderkey as order_id",
+        "l_linenumber as order_item_id",
+        "l_partkey as product_id",
+        "l_suppkey as seller_id",
+        "cast(l_shipdate as timestamp) as shipping_limit_date",
+        "l_extendedprice as price",
+        "cast(round(cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(4,2)), 2) as double) as freight_value",
     )
 
 
 def order_payments(raw: RawReader) -> DataFrame:
-    return raw("orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.lit(1).alias("payment_sequential"),
-        F.col("o_orderpriority").alias("payment_type"),
-        (1 + F.col("o_orderkey") % 10).cast("int").alias("payment_installments"),
-        F.col("o_totalprice").alias("payment_value"),
+    return raw("orders").selectExpr(
+        "o_orderkey as order_id",
+        "1 as payment_sequential",
+        "o_orderpriority as payment_type",
+        "cast(1 + o_orderkey % 10 as int) as payment_installments",
+        "o_totalprice as payment_value",
     )
 
 
 def order_reviews(raw: RawReader) -> DataFrame:
-    key, nth = F.col("o_orderkey"), F.col("nth")
-    reviews_of_order = F.when(key % 17 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    created = F.col("o_orderdate").cast("timestamp") + _hours((key % 53) * 21 + nth * 48)
-    return (
-        raw("orders")
-        .filter(key % 11 != 0)
-        .select("o_orderkey", "o_orderdate", F.explode(reviews_of_order).alias("nth"))
-        .select(
-            (key * 10 + nth).alias("review_id"),
-            key.alias("order_id"),
-            F.when(nth == 1, 1).otherwise((1 + (key * 7) % 5).cast("int")).alias("review_score"),
-            F.when(key % 3 != 0, F.concat(F.lit("title "), key % 25)).alias("review_comment_title"),
-            F.when(key % 5 == 0, F.concat(F.lit("message "), key % 100)).alias("review_comment_message"),
-            created.alias("review_creation_date"),
-            F.when(key % 29 != 0, created + _hours((key % 37) * 31 - 20)).alias("review_answer_timestamp"),
-        )
+    created = f"cast(o_orderdate as timestamp) + {_hours('(o_orderkey % 53) * 21 + nth * 48')}"
+    reviewed = raw("orders").filter("o_orderkey % 11 <> 0")
+    return reviewed.selectExpr(
+        "o_orderkey", "o_orderdate", "explode(if(o_orderkey % 17 = 0, array(0, 1), array(0))) as nth"
+    ).selectExpr(
+        "o_orderkey * 10 + nth as review_id",
+        "o_orderkey as order_id",
+        "if(nth = 1, 1, cast(1 + (o_orderkey * 7) % 5 as int)) as review_score",
+        "if(o_orderkey % 3 <> 0, concat('title ', o_orderkey % 25), null) as review_comment_title",
+        "if(o_orderkey % 5 = 0, concat('message ', o_orderkey % 100), null) as review_comment_message",
+        f"{created} as review_creation_date",
+        f"if(o_orderkey % 29 <> 0, {created} + {_hours('(o_orderkey % 37) * 31 - 20')}, null) as review_answer_timestamp",
     )
 
 
 def sellers(raw: RawReader) -> DataFrame:
-    return (
-        raw("supplier")
-        .join(raw("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_suppkey").alias("seller_id"),
-            (F.col("s_suppkey") % 1000).cast("int").alias("seller_zip_code_prefix"),
-            F.concat(F.lit("CITY_"), F.col("s_suppkey") % 40).alias("seller_city"),
-            F.col("n_name").alias("seller_state"),
-        )
+    return _nation(raw, "supplier", "s_nationkey").selectExpr(
+        "s_suppkey as seller_id",
+        "cast(s_suppkey % 1000 as int) as seller_zip_code_prefix",
+        "concat('CITY_', s_suppkey % 40) as seller_city",
+        "n_name as seller_state",
     )
 
 
 def products(raw: RawReader) -> DataFrame:
-    key, size = F.col("p_partkey"), F.col("p_size")
-    described = key % 23 != 0
-    return raw("part").select(
-        key.alias("product_id"),
-        F.when(key % 19 != 0, F.lower("p_type")).alias("product_category_name"),
-        F.when(described, F.length("p_name").cast("double")).alias("product_name_lenght"),
-        F.when(described, (size * 10).cast("double")).alias("product_description_lenght"),
-        F.when(described, (size % 5 + 1).cast("double")).alias("product_photos_qty"),
-        (size * 100).cast("double").alias("product_weight_g"),
-        size.cast("double").alias("product_length_cm"),
-        (size % 7 + 1).cast("double").alias("product_height_cm"),
-        (size % 11 + 1).cast("double").alias("product_width_cm"),
+    described = "p_partkey % 23 <> 0"
+    return raw("part").selectExpr(
+        "p_partkey as product_id",
+        "if(p_partkey % 19 <> 0, lower(p_type), null) as product_category_name",
+        f"if({described}, cast(length(p_name) as double), null) as product_name_lenght",
+        f"if({described}, cast(p_size * 10 as double), null) as product_description_lenght",
+        f"if({described}, cast(p_size % 5 + 1 as double), null) as product_photos_qty",
+        "cast(p_size * 100 as double) as product_weight_g",
+        "cast(p_size as double) as product_length_cm",
+        "cast(p_size % 7 + 1 as double) as product_height_cm",
+        "cast(p_size % 11 + 1 as double) as product_width_cm",
     )
 
 
 def category_translation(raw: RawReader) -> DataFrame:
-    return (
-        raw("part")
-        .select(F.lower("p_type").alias("product_category_name"), F.col("p_type").alias("product_category_name_english"))
-        .distinct()
-    )
+    names = raw("part").selectExpr("lower(p_type) as product_category_name", "p_type as product_category_name_english")
+    return names.distinct()
 
 
 def geolocation(raw: RawReader) -> DataFrame:
-    key = F.col("c_custkey")
-    return (
-        raw("customer")
-        .join(raw("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            (key % 1000).cast("int").alias("geolocation_zip_code_prefix"),
-            ((key % 720) / F.lit(4.0) - F.lit(90.0)).alias("geolocation_lat"),
-            ((key % 1440) / F.lit(4.0) - F.lit(180.0)).alias("geolocation_lng"),
-            F.concat(F.lit("CITY_"), key % 40).alias("geolocation_city"),
-            F.col("n_name").alias("geolocation_state"),
-        )
+    return _nation(raw, "customer", "c_nationkey").selectExpr(
+        "cast(c_custkey % 1000 as int) as geolocation_zip_code_prefix",
+        "(c_custkey % 720) / 4.0D - 90.0D as geolocation_lat",
+        "(c_custkey % 1440) / 4.0D - 180.0D as geolocation_lng",
+        "concat('CITY_', c_custkey % 40) as geolocation_city",
+        "n_name as geolocation_state",
     )
 
 
 def live_sales(raw: RawReader) -> DataFrame:
     """Purchases of the event table as a sales feed."""
-    return (
-        raw("events")
-        .filter(F.col("event_type") == "purchase")
-        .select(
-            F.col("ts").cast("timestamp").alias("created_date"),
-            F.col("user_id").cast("string").alias("salesordernumber"),
-            F.col("value").alias("salesamount"),
-        )
+    purchases = raw("events").filter("event_type = 'purchase'")
+    return purchases.selectExpr(
+        "cast(ts as timestamp) as created_date", "cast(user_id as string) as salesordernumber", "value as salesamount"
     )
 
 
