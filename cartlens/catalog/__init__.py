@@ -6,7 +6,9 @@ import importlib
 
 from cartlens.catalog import registry
 
-MODULES = ("cleaning", "scalars", "joins")
+MODULES = (
+    "sources", "cleaning", "scalars", "joins", "aggregation", "dashboard", "customers", "profiles", "learning", "streams",
+)
 
 
 def _load() -> None:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartlens import schemas
 
 
-def read_csv(spark: SparkSession, path, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header line. Without a schema Spark scans the file once more to infer it."""
     reader = spark.read.option("header", True)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
@@ -27,7 +28,7 @@ def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = N
     return table.select(*columns) if columns else table
 
 
-def read_parquet(spark: SparkSession, path, schema: T.StructType | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path, schema: T.StructType | str | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
 
@@ -65,9 +66,9 @@ def preview(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
 
 def schema_report(df: DataFrame) -> DataFrame:
     """One row per column: position, name, type and the count of non-null values."""
-    from pyspark.sql import functions as F
-
-    counts = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(f"`{c}`")).alias(f"__{i}") for i, c in enumerate(df.columns)])
+    counts = df.agg(
+        F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(f"`{c}`")).alias(f"__{i}") for i, c in enumerate(df.columns)]
+    )
     entries = [
         F.struct(
             F.lit(i).alias("position"),
