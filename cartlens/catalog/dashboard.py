@@ -348,9 +348,8 @@ def k28(d: Data):
         WHERE {days('(SELECT max(order_purchase_timestamp) FROM wide)', 'order_purchase_timestamp')} = 0""",
 )
 def k29(d: Data):
-    latest = d.wide.agg(F.max("order_purchase_timestamp")).scalar()
-    recency = dates.whole_days(latest, F.col("order_purchase_timestamp"))
-    return d.wide.filter(recency == 0).agg(F.count(F.lit(1)).alias("n"))
+    recency = dates.whole_days(d.facts.latest, F.col("order_purchase_timestamp"))
+    return d.facts.orders.filter(recency == 0).agg(F.sum("n_rows").alias("n"))
 
 
 @query(

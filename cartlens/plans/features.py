@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions import dates, labels
-from cartlens.operators.aggregates import MONEY, money_avg, money_sum
+from cartlens.operators.aggregates import cents, money_sum
 from cartlens.operators.keyjoin import attach_per_key
 from cartlens.session import materialize
 
@@ -33,7 +33,7 @@ def order_facts(wide: DataFrame) -> DataFrame:
         .groupBy(PERSON, "customer_id", "order_id", "order_purchase_timestamp", "late_deliveries", "review_score")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum(F.col("payment_value").cast(MONEY)).alias("paid"),
+            F.sum(cents("payment_value")).alias("paid_cents"),
         )
     )
 
@@ -53,13 +53,19 @@ class CustomerFacts:
         """The last purchase of the whole table, as a scalar subquery."""
         return self.orders.agg(F.max("order_purchase_timestamp")).scalar()
 
+    @property
+    def typical_score(self):
+        """The mean review score of all rows, cut to an integer, an unknown score being 0."""
+        total = F.sum(F.coalesce(F.col("review_score"), F.lit(0)) * F.col("n_rows"))
+        return self.orders.agg((total / F.sum("n_rows")).cast("int")).scalar()
+
     @cached_property
     def customers(self) -> DataFrame:
         """recency, frequency, monetary_value, customer_tenure, late_deliveries, num_orders
         per person; recency counts from the person's last purchase."""
         grouped = self.orders.groupBy(PERSON).agg(
             F.sum("n_rows").alias("frequency"),
-            F.sum("paid").cast("double").alias("monetary_value"),
+            (F.sum("paid_cents") / F.lit(100.0)).alias("monetary_value"),
             F.min("order_purchase_timestamp").alias("first_purchase"),
             F.max("order_purchase_timestamp").alias("last_purchase"),
             F.sum(F.col("late_deliveries") * F.col("n_rows")).alias("late_deliveries"),
@@ -108,20 +114,17 @@ def late_per_customer(facts: CustomerFacts) -> DataFrame:
     )
 
 
-def customer_rollup(rows: DataFrame, latest) -> DataFrame:
+def customer_rollup(rows: DataFrame) -> DataFrame:
     """One row per person with mixed aggregates over its joined rows (intervals included).
 
     num_orders counts the distinct values of a per-person constant, and monetary_value adds
     the person's total once per row; both are kept as published. The corrected figures are
-    in CustomerFacts.customers.
+    in CustomerFacts.customers. The largest recency of a person belongs to its first purchase,
+    so the last purchase of all is needed only after grouping, from one row per person.
     """
-    rows = rows.withColumns({
-        "recency": dates.whole_days(latest, F.col("order_purchase_timestamp")),
-        "late": late_column(),
-    })
-    paid = F.sum(F.col("payment_value").cast(MONEY))
-    tenure = dates.whole_days(F.max("order_purchase_timestamp"), F.min("order_purchase_timestamp"))
-    return rows.groupBy(PERSON).agg(
+    paid, n = F.sum(cents("payment_value")), F.count(F.lit(1))
+    first, last = F.min("order_purchase_timestamp"), F.max("order_purchase_timestamp")
+    grouped = rows.groupBy(PERSON).agg(
         F.max("customer_zip_code_prefix").alias("customer_zip_code_prefix"),
         F.max("customer_city").alias("customer_city"),
         F.max("customer_state").alias("customer_state"),
@@ -134,15 +137,19 @@ def customer_rollup(rows: DataFrame, latest) -> DataFrame:
         money_sum("freight_value").alias("freight_value"),
         F.max("payment_type").alias("payment_type"),
         F.max("payment_installments").alias("payment_installments"),
-        paid.cast("double").alias("payment_value"),
+        (paid / F.lit(100.0)).alias("payment_value"),
         F.avg("review_score").alias("review_score"),
-        F.max("recency").alias("recency"),
         F.lit(1).cast("bigint").alias("num_orders"),
-        F.count(F.lit(1)).cast("double").alias("frequency"),
-        (paid.cast("decimal(28,2)") * F.count(F.lit(1)).cast("decimal(10,0)")).cast("double").alias("monetary_value"),
-        tenure.alias("customer_tenure"),
-        F.sum("late").alias("late_deliveries"),
+        n.cast("double").alias("frequency"),
+        ((paid.cast("decimal(20,0)") * n.cast("decimal(16,0)")).cast("double") / F.lit(100.0)).alias("monetary_value"),
+        dates.whole_days(last, first).alias("customer_tenure"),
+        F.sum(late_column()).alias("late_deliveries"),
+        first.alias("__first"),
+        last.alias("__last"),
     )
+    people = materialize(grouped, "rollup")
+    latest = people.agg(F.max("__last")).scalar()
+    return people.withColumn("recency", dates.whole_days(latest, F.col("__first"))).drop("__first", "__last")
 
 
 def product_behaviour(rows: DataFrame, k: int | None = 10) -> DataFrame:

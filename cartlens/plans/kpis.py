@@ -262,7 +262,7 @@ def live_sales(sales: DataFrame, minutes: int) -> DataFrame:
     return recent.groupBy("created_date", "salesordernumber").agg(
         F.count(F.lit(1)).alias("num_transactions"),
         F.count_distinct("salesordernumber").alias("num_orders"),
-        F.round(F.sum(F.col("salesamount").cast(agg.MONEY)), 2).cast("int").alias("sales"),
+        agg.money_sum("salesamount").cast("int").alias("sales"),
     )
 
 

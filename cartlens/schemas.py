@@ -1,6 +1,6 @@
 """Explicit schemas of the commerce tables.
 
-Money is double as it arrives; sums go through decimals (operators.aggregates.money_sum).
+Money is double as it arrives; sums go through whole cents (operators.aggregates.money_sum).
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ def sales_windows(sales: DataFrame, minutes: int = 60, slide: str = "1 minute",
         sales = sales.withWatermark("created_date", delay)
     windows = sales.groupBy(F.window("created_date", f"{minutes} minutes", slide).alias("w")).agg(
         F.count(F.lit(1)).alias("num_transactions"),
-        F.sum(F.col("salesamount").cast(agg.MONEY)).cast("double").alias("sales"),
+        agg.money_sum("salesamount").alias("sales"),
     )
     return windows.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "num_transactions", "sales")
 

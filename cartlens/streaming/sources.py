@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from cartlens import schemas
 from cartlens.operators.ordered import number_rows
+from cartlens.session import materialize
 
 STREAMED = ("orders", "customers", "order_items", "order_payments", "order_reviews")
 
@@ -41,9 +42,14 @@ def topic_tables(spark: SparkSession, servers: str, topics: dict[str, str], **op
 
 
 def keyed_messages(df: DataFrame, order_by: list[str]) -> DataFrame:
-    """Rows as JSON messages keyed by a running counter from 0 along order_by."""
+    """Rows as JSON messages keyed by a running counter from 0 along order_by.
+
+    Equal rows are told apart by an id that is written down before it is used, so that any
+    number of copies of one row is still spread over several tasks.
+    """
     packed = df.select(*order_by, F.to_json(F.struct("*")).alias("value"))
-    numbered = number_rows(packed, [*order_by, "value"], "n", start=0)
+    packed = materialize(packed.withColumn("__id", F.monotonically_increasing_id()), "messages")
+    numbered = number_rows(packed, [*order_by, "value", "__id"], "n", start=0)
     return numbered.select(F.col("n").cast("string").alias("key"), "value")
 
 
