@@ -109,7 +109,7 @@ def histogram(df: DataFrame, column: str, bins: int, low: float | None = None, h
     hi = F.lit(float(high)) if high is not None else known.agg(F.max(x)).scalar()
     width = (hi - lo) / F.lit(float(bins))
     # one value only: everything is in bin 0
-    index = F.coalesce(F.least(F.floor(F.try_divide(x - lo, width)), F.lit(bins - 1)), F.lit(0)).cast("int")
+    index = F.least(F.coalesce(F.floor(F.try_divide(x - lo, width)), F.lit(0)), F.lit(bins - 1)).cast("int")
     inside = known.filter((x >= lo) & (x <= hi))
     grouped = inside.groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return grouped.select(
