@@ -46,6 +46,7 @@ class Data:
         return CustomerFacts(self.wide)
 
 
+FUNCTIONS: dict[str, Callable[[Data], DataFrame]] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -56,6 +57,7 @@ def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Data], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
+        FUNCTIONS[name] = fn
         QUERIES[name] = lambda spark, folder: fn(Data(spark, folder))
         if sql is not None:
             ORACLES[name] = with_tables(sql)

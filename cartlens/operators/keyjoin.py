@@ -1,4 +1,4 @@
-"""Joining rows with one-row-per-key results when a few keys hold most rows."""
+"""Joins when a few keys hold most rows."""
 
 from __future__ import annotations
 
@@ -35,3 +35,32 @@ def attach_per_key(
     parts = F.when(F.col(size) > limit, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
     right = per_key.withColumn("__part", F.explode(parts))
     return left.join(right, [key, "__part"], how).drop("__part")
+
+
+def hot_keys(df: DataFrame, key: str, hot_share: float = HOT_SHARE) -> list:
+    """Keys that hold more than hot_share of the rows, by a frequent-items sketch over one column.
+
+    At most 1 / hot_share keys qualify. The sketch only steers how rows are spread; a key it
+    misses is still joined correctly.
+    """
+    k = int(1 / hot_share)
+    one = df.agg(F.expr(f"approx_top_k({key}, {k}, {min(10 * k, 1_000_000)})").alias("top"), F.count(key).alias("n"))
+    rows = one.select(F.inline("top"), "n").filter(F.col("count") > F.col("n") * hot_share)
+    return [r["item"] for r in rows.select("item").collect()]
+
+
+def split_hot_join(rows: DataFrame, other: DataFrame, key: str, hot: Sequence, spread: int = SPREAD) -> DataFrame:
+    """Inner join in which the rows of the given hot keys are spread over `spread` parts and the
+    other side's rows of these keys are repeated for each part.
+
+    rows must come straight from storage: the part of a row is its place in its file split,
+    which spreads even equal copies of one row and is the same when a task is run again.
+    """
+    if not hot:
+        return other.join(rows, key)
+    is_hot = F.col(key).isin(list(hot))
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(spread)).cast("int")
+    left = rows.withColumn("__part", F.when(is_hot, place).otherwise(F.lit(0)))
+    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
+    right = other.withColumn("__part", F.explode(parts))
+    return right.join(left, [key, "__part"]).drop("__part")

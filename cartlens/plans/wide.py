@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions import dates, labels
 from cartlens.operators import clean
+from cartlens.operators.keyjoin import HOT_SHARE, hot_keys, split_hot_join
 
 ORDER_DROPS = ("order_delivered_carrier_date", "order_approved_at")
 PRODUCT_DROPS = (
@@ -46,24 +47,30 @@ def clean_sellers(sellers: DataFrame, drop: bool = True) -> DataFrame:
     return sellers.drop(*SELLER_DROPS) if drop else sellers
 
 
-def join_wide(t: Mapping[str, DataFrame]) -> DataFrame:
+ORDER_PARTS = ("order_payments", "order_reviews", "order_items")
+
+
+def hot_orders(t: Mapping[str, DataFrame], hot_share: float = HOT_SHARE) -> list:
+    """Orders that hold an outsized share of the payments, reviews or items."""
+    found = {key for name in ORDER_PARTS for key in hot_keys(t[name], "order_id", hot_share)}
+    return sorted(found)
+
+
+def join_wide(t: Mapping[str, DataFrame], hot: Sequence = ()) -> DataFrame:
     """Inner-join the eight tables; items, payments and reviews of an order multiply.
 
-    The order-grain join with customers comes first, before rows multiply. Items, payments
-    and reviews then share one hash partitioning on order_id. The category names join to the
+    The order-grain join with customers comes first, before rows multiply. Payments, reviews
+    and items then share one hash partitioning on order_id. The category names join to the
     products, not to the rows. No side is hinted: Catalyst broadcasts what it measures to be
-    small and AQE splits hot products and sellers otherwise.
+    small, and AQE splits hot products and sellers otherwise. AQE cannot split a join whose
+    input is already partitioned, so hot orders, if there are any, are passed in and spread
+    explicitly.
     """
     categorised = t["products"].join(t["category_translation"], "product_category_name")
-    return (
-        t["orders"]
-        .join(t["customers"], "customer_id")
-        .join(t["order_payments"], "order_id")
-        .join(t["order_reviews"], "order_id")
-        .join(t["order_items"], "order_id")
-        .join(categorised, "product_id")
-        .join(t["sellers"], "seller_id")
-    )
+    joined = t["orders"].join(t["customers"], "customer_id")
+    for name in ORDER_PARTS:
+        joined = split_hot_join(t[name], joined, "order_id", hot)
+    return joined.join(categorised, "product_id").join(t["sellers"], "seller_id")
 
 
 def cleaned_tables(t: Mapping[str, DataFrame], drop: bool = True) -> dict[str, DataFrame]:
@@ -79,9 +86,9 @@ def cleaned_tables(t: Mapping[str, DataFrame], drop: bool = True) -> dict[str, D
     }
 
 
-def build_wide(t: Mapping[str, DataFrame], drop: bool = True) -> DataFrame:
+def build_wide(t: Mapping[str, DataFrame], drop: bool = True, hot: Sequence = ()) -> DataFrame:
     """The ETL result. drop=False keeps the columns the ETL discards."""
-    return join_wide(cleaned_tables(t, drop))
+    return join_wide(cleaned_tables(t, drop), hot)
 
 
 def raw_wide(t: Mapping[str, DataFrame]) -> DataFrame:

@@ -43,16 +43,20 @@ def local_session(app: str = "cartlens", cores: str = "*", memory: str = "8g", s
     return configure(spark)
 
 
+_local_folder: str | None = None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only in local mode."""
+    global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="cartlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="cartlens-")
+    return _local_folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

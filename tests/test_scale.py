@@ -133,3 +133,17 @@ def test_quantile_of_many_values_rounds(spark):
     df = spark.range(200_000).select((F.col("id") * 0.37).alias("x"))
     got = quantiles.exact_quantiles(df, ["x"], (0.33,), narrow_limit=1000, final_limit=128)["x"][0]
     assert math.isclose(got, 0.33 * 199_999 * 0.37, rel_tol=1e-12)
+
+
+def test_hot_orders_are_found_and_joined_whole(spark, tmp_path):
+    from cartlens.operators.keyjoin import hot_keys, split_hot_join
+
+    # order 0 holds a third of all rows, half of them copies of one row
+    data = [(0, 7) if i % 6 == 0 else (0, i) if i % 3 == 0 else (i, i) for i in range(6000)]
+    spark.createDataFrame(data, "k long, v long").repartition(4).write.parquet(f"{tmp_path}/rows")
+    items = spark.read.parquet(f"{tmp_path}/rows")
+    heads = spark.range(6000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    hot = hot_keys(items, "k", 0.01)
+    assert hot == [0]
+    got = split_hot_join(items, heads, "k", hot, spread=8)
+    assert rows(got.select("k", "v", "w")) == rows(items.join(heads, "k").select("k", "v", "w"))
