@@ -224,6 +224,19 @@ def f5(d: Data):
     return rounded(agg.share_of_total(totals, "total", "share"), 6, "share")
 
 
+@query(
+    "f6_top_items_per_customer",
+    """WITH g AS (SELECT customer_unique_id, product_id, max(review_score) AS score, count(*) AS n FROM wide GROUP BY ALL)
+       SELECT customer_unique_id, product_id, score, n, CAST(row_number() OVER (PARTITION BY customer_unique_id ORDER BY score DESC, n DESC, product_id) AS INTEGER) AS place
+       FROM g QUALIFY place <= 5""",
+)
+def f6(d: Data):
+    scored = d.wide.groupBy("customer_unique_id", "product_id").agg(
+        F.max("review_score").alias("score"), F.count(F.lit(1)).alias("n")
+    )
+    return agg.top_per_group(scored, "customer_unique_id", 5, [F.desc("score"), F.desc("n"), F.asc("product_id")])
+
+
 # -- G, H ----------------------------------------------------------------------------------
 
 

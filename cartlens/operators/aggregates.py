@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 def cents(column: str | Column) -> Column:
@@ -62,6 +62,13 @@ def top_k(df: DataFrame, value: str, k: int, tiebreak: Sequence[str], ascending:
     return df.orderBy(first, *tiebreak).limit(k)
 
 
+def top_per_group(df: DataFrame, key: str, k: int, order_by: Sequence[Column]) -> DataFrame:
+    """The first k rows of every key, with their place. Spark keeps only k rows per key in each
+    task before the shuffle, so a key with very many rows is not sorted in one place."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order_by))
+    return df.withColumn("place", place).filter(F.col("place") <= k)
+
+
 def keep_top_keys(df: DataFrame, key: str, k: int, weight: Column) -> DataFrame:
     """Rows whose key is among the k heaviest; those k keys are all that is broadcast."""
     totals = keyed(df, [key]).groupBy(key).agg(weight.alias("__w"))
@@ -144,10 +151,19 @@ def measures_as_rows(df: DataFrame, measures: Mapping[str, Column]) -> DataFrame
 
 
 def low_cardinality_columns(df: DataFrame, limit: int, columns: Sequence[str] | None = None) -> list[str]:
-    """Columns with fewer than limit distinct values, found in one pass."""
+    """Columns with fewer than limit distinct values.
+
+    A sketch first rules out columns with far more values, such as ids, in one pass without
+    shuffling them; only the rest are counted exactly. The sketch is nearly exact for small
+    numbers, and a column must exceed the limit twofold to be ruled out.
+    """
     columns = list(columns or df.columns)
-    row = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in columns]).first()
-    return [c for c in columns if row[c] < limit]
+    estimates = df.agg(*[F.approx_count_distinct(F.col(c), 0.02).alias(c) for c in columns]).first()
+    few = [c for c in columns if estimates[c] < 2 * limit]
+    if not few:
+        return []
+    exact = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in few]).first()
+    return [c for c in few if exact[c] < limit]
 
 
 def value_listing(df: DataFrame, columns: Sequence[str], name: str = "n") -> DataFrame:

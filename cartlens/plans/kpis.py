@@ -150,13 +150,11 @@ def basket_sizes(view: DataFrame) -> DataFrame:
 
 def reviewed_percent(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     """Percent of orders with a review."""
-    missing = agg.without(orders, reviews, "order_id").agg(F.count_distinct("order_id")).scalar()
-    total = orders.agg(F.count_distinct("order_id").alias("orders"))
-    return total.select(
-        (F.col("orders") - missing).alias("reviewed"),
-        missing.alias("not_reviewed"),
-        F.round(F.try_divide((F.col("orders") - missing) * 100.0, F.col("orders")), 2).alias("reviewed_percent"),
-    )
+    marked = reviews.select("order_id").distinct().withColumn("__reviewed", F.lit(1))
+    found = orders.select("order_id").distinct().join(marked, "order_id", "left")
+    one = found.agg(F.count("__reviewed").alias("reviewed"), F.count_if(F.col("__reviewed").isNull()).alias("not_reviewed"))
+    total = F.col("reviewed") + F.col("not_reviewed")
+    return one.withColumn("reviewed_percent", F.round(F.try_divide(F.col("reviewed") * 100.0, total), 2))
 
 
 def review_lag_shares(view: DataFrame) -> DataFrame:

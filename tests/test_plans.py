@@ -256,3 +256,33 @@ def test_joins_share_one_partitioning_on_the_order(spark, folder):
         for key in keys:
             spark.conf.unset(key)
     assert text.count("hashpartitioning(order_id") == 4
+
+
+def test_top_per_group_is_cut_before_the_shuffle(spark):
+    from cartlens.operators.aggregates import top_per_group
+
+    df = spark.range(1000).select((F.col("id") % 2).alias("k"), "id")
+    top = top_per_group(df, "k", 3, [F.desc("id")])
+    assert "WindowGroupLimit" in plan(top)
+    assert rows(top, "k", "place") == [(0, 998, 1), (0, 996, 2), (0, 994, 3), (1, 999, 1), (1, 997, 2), (1, 995, 3)]
+
+
+def test_scratch_folder(spark, monkeypatch):
+    from cartlens import session
+
+    assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+    class Bare:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.shared_folder(Bare())
+    Context.master = "local[2]"
+    assert session.shared_folder(Bare()) == session.shared_folder(Bare())
