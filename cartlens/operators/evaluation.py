@@ -74,9 +74,7 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> Dat
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
     run = running_totals(per_score, [F.desc("threshold")], {"pos": "tp", "neg": "fp"})
-    totals = df.agg(
-        F.struct(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-    ).scalar()
+    totals = run.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))).scalar()
     points = run.select(
         "threshold",
         F.try_divide(F.col("fp").cast("double"), totals["neg"]).alias("fpr"),

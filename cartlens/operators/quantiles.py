@@ -166,8 +166,12 @@ def quantile_frame(df: DataFrame, columns: Sequence[str], probabilities: Sequenc
 
 
 def iqr_limits(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> dict[str, tuple[float, float]]:
+    """Fence per column; a column without values gets a fence that nothing is inside of."""
     quartiles = exact_quantiles(df, columns, (0.25, 0.75), weight)
-    return {c: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for c, (q1, q3) in quartiles.items() if q1 is not None}
+    return {
+        c: (math.nan, math.nan) if q1 is None else (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
+        for c, (q1, q3) in quartiles.items()
+    }
 
 
 def inside(column: str, limits: tuple[float, float], strict: bool = False) -> Column:

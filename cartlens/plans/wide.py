@@ -38,8 +38,16 @@ def clean_products(products: DataFrame, drop: bool = True) -> DataFrame:
     return products.drop(*PRODUCT_DROPS) if drop else products
 
 
+def parse_reviews(reviews: DataFrame) -> DataFrame:
+    """Review dates that arrive as text become timestamps, or null if they are none."""
+    kinds = dict(reviews.dtypes)
+    texts = [c for c in ("review_creation_date", "review_answer_timestamp") if kinds[c] == "string"]
+    return reviews.withColumns({c: dates.parse_timestamp(F.col(c)) for c in texts}) if texts else reviews
+
+
 def clean_reviews(reviews: DataFrame, drop: bool = True) -> DataFrame:
-    reviews = clean.require(reviews, REVIEW_REQUIRED)
+    """Reviews with all required columns."""
+    reviews = clean.require(parse_reviews(reviews), REVIEW_REQUIRED)
     return reviews.drop(*REVIEW_DROPS) if drop else reviews
 
 
@@ -50,6 +58,11 @@ def clean_sellers(sellers: DataFrame, drop: bool = True) -> DataFrame:
 ORDER_PARTS = ("order_payments", "order_reviews", "order_items")
 
 
+TABLE_NAMES = (
+    "orders", "customers", "order_items", "order_payments", "order_reviews", "products", "sellers", "category_translation",
+)
+
+
 def hot_orders(t: Mapping[str, DataFrame], hot_share: float = HOT_SHARE) -> list:
     """Orders that hold an outsized share of the payments, reviews or items."""
     found = {key for name in ORDER_PARTS for key in hot_keys(t[name], "order_id", hot_share)}
@@ -93,7 +106,7 @@ def build_wide(t: Mapping[str, DataFrame], drop: bool = True, hot: Sequence = ()
 
 def raw_wide(t: Mapping[str, DataFrame]) -> DataFrame:
     """All tables joined without any cleaning, for exploration."""
-    return join_wide(t)
+    return join_wide({**{name: t[name] for name in TABLE_NAMES}, "order_reviews": parse_reviews(t["order_reviews"])})
 
 
 def with_intervals(df: DataFrame) -> DataFrame:

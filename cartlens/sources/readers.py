@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 from cartlens import schemas
 
 
-def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header line. Without a schema Spark scans the file once more to infer it."""
-    reader = spark.read.option("header", True)
+def read_csv(spark: SparkSession, path, schema: T.StructType | str | None = None, **options: object) -> DataFrame:
+    """CSV with a header line. Without a schema Spark scans the file once more to infer it.
+    Comments with line breaks need multiLine=True, which keeps a file in one task."""
+    reader = spark.read.option("header", True).options(**options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 

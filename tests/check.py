@@ -35,9 +35,7 @@ def _cell(v):
         except ValueError:
             pass
     if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return 0.0 if v == 0 else v
+        return None if math.isnan(v) else v
     return str(v) if not isinstance(v, (int, bool, str)) else v
 
 
@@ -62,7 +60,7 @@ def compare(spark_frame, duck_frame) -> str:
         return f"types {bad}"
     if len(ra) != len(rb):
         return f"rows {len(ra)} vs {len(rb)}"
-    norm = lambda rows: [tuple(float(x) if isinstance(x, (int, float)) and not isinstance(x, bool) else x for x in r) for r in rows]
+    norm = lambda rows: [tuple(repr(float(x)) if isinstance(x, (int, float)) and not isinstance(x, bool) else x for x in r) for r in rows]
     wrong = [(x, y) for x, y in zip(norm(ra), norm(rb)) if x != y]
     return f"{len(wrong)} rows differ, first {wrong[0]}" if wrong else ""
 

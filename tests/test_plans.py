@@ -286,3 +286,32 @@ def test_scratch_folder(spark, monkeypatch):
         session.shared_folder(Bare())
     Context.master = "local[2]"
     assert session.shared_folder(Bare()) == session.shared_folder(Bare())
+
+
+def test_wide_table_from_csv_files(spark, shop, joined, tmp_path):
+    from cartlens.sources import readers, writers
+
+    files = {}
+    for name in wide.TABLE_NAMES:
+        writers.write_csv(shop[name], f"{tmp_path}/{name}")
+        files[name] = name
+    tables = readers.read_csv_tables(spark, str(tmp_path), files)
+    again = wide.build_wide(tables, drop=False)
+    assert again.schema == joined.schema
+    kept = [c for c in again.columns if "comment" not in c]  # empty text is written as null
+    assert rows(again.select(kept)) == rows(joined.select(kept))
+
+
+def test_bad_review_dates_are_dropped(spark, shop):
+    spoiled = shop["order_reviews"].withColumn(
+        "review_creation_date", F.when(F.col("review_id") == "r1", "no date").otherwise(F.col("review_creation_date"))
+    )
+    assert {r[0] for r in wide.clean_reviews(spoiled).select("review_id").collect()} == {"r2", "r3"}
+
+
+def test_fence_of_an_empty_column(spark):
+    from cartlens.operators import quantiles
+
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
+    got = {r["column"]: (r["inliers"], r["outliers"]) for r in quantiles.iqr_counts(df, ["a", "b"]).collect()}
+    assert got == {"a": (2, 0), "b": (0, 0)}
