@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import binary_ids, decontaminate, exact_dedup, packing, simhash, toxicity
+from cartlens.llm import (
+    binary_ids, decontaminate, exact_dedup, html_text, langid, licenses, packing, pii, simhash, toxicity,
+)
 from cartlens.llm.common import prepare
 from cartlens.llm.tokens import vocabulary_path
 from cartlens.session import scratch_path
@@ -22,6 +24,15 @@ def _remainder(divisor: int, doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % divisor
 
 
+# A real run gives its own secret; this one only makes the registered query repeatable.
+SURROGATE_KEY = "registered-query"
+
+
+def op1_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    replaced = pii.replace(_table(spark, folder, "documents"), SURROGATE_KEY)
+    return replaced.select("doc_id", "text", "n_entities", "kinds")
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.piece_digests(packing.decompose(_table(spark, folder, "documents"), vocabulary_path()))
 
@@ -37,6 +48,13 @@ def op4_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
     return binary_ids.document_digests(binary_ids.read_ids(spark, path))
 
 
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = langid.fit(docs, usable=_remainder(3) != 1)
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, folder, "documents"))
 
@@ -56,6 +74,14 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(_table(spark, folder, "documents"))
+
+
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(_table(spark, folder, "pages"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -100,12 +126,16 @@ FROM hashed WINDOW w AS (PARTITION BY text_sha256)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_bit_planes": op4_bit_planes,
+    "op5_language": op5_language,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
     "op8_toxicity": op8_toxicity,
+    "op9_licenses": op9_licenses,
+    "op10_main_text": op10_main_text,
     "pipeline": pipeline,
 }
 

@@ -1,8 +1,8 @@
 """Toxicity by maximum-scoring segments.
 
-Tokens get the log-odds of occurring in toxic against other labelled documents, with an informative
-Dirichlet prior from both classes together, minus a drift that makes ordinary text score below
-zero on average. All maximal scoring segments of a document are found in one linear scan; each
+Tokens are words and, for words that are rare, their stems (the first STEM_BYTES bytes). They get the
+log-odds of occurring in toxic against other labelled documents, with an informative Dirichlet prior
+from both classes together, minus a drift that makes ordinary text score below zero on average. All maximal scoring segments of a document are found in one linear scan; each
 is a passage. A segment of score s in n tokens is judged by extreme-value statistics: for random
 ordinary text the best segment exceeds s with probability 1 - exp(-K n exp(-lambda s)), where
 lambda solves E[exp(lambda score)] = 1 over ordinary tokens and K is fitted to the best segments of
@@ -28,7 +28,10 @@ from cartlens.session import materialize
 FIT_ROWS = 20_000
 VOCABULARY = 50_000
 PRIOR = 50.0
-DRIFT = 0.5
+DRIFT = 1.0
+HIGHEST = 8.0
+MIN_Z = 4.0
+STEM_BYTES = 4
 SIGNIFICANCE = 0.05
 SPAN = 1 << 20
 
@@ -81,22 +84,29 @@ def maximal_segments(places: list[int], scores: list[float], step: float) -> lis
 
 @dataclass
 class Model:
-    scores: dict[bytes, float]
-    step: float  # score of every word that is not in scores
+    scores: dict[bytes, float]  # words
+    stems: dict[bytes, float]
+    step: float  # score of every other word
     decay: float  # lambda
     size: float  # K
     weights: tuple[float, float, float, float]
 
     def segments(self, text: str) -> tuple[int, list[tuple[float, int, int]]]:
         """Number of words, and all maximal segments in order."""
-        get, n, places, scores = self.scores.get, 0, [], []
+        n, places, scores = self.scored(text)
+        return n, maximal_segments(places, scores, self.step)
+
+    def scored(self, text: str) -> tuple[int, list[int], list[float]]:
+        """Number of words, and place and score of those that count for toxicity."""
+        word, stem, n, places, scores = self.scores.get, self.stems.get, 0, [], []
         for words in words_of(text):
-            for k, s in enumerate(map(get, words)):
+            found = [word(w) or stem(w[:STEM_BYTES]) for w in words]
+            for k, s in enumerate(found):
                 if s is not None:
                     places.append(n + k)
                     scores.append(s)
             n += len(words)
-        return n, maximal_segments(places, scores, self.step)
+        return n, places, scores
 
     def surprisal(self, score: float, n: int) -> float:
         """-log of the chance that ordinary text of n words has a segment this good."""
@@ -133,6 +143,43 @@ def _sample(labelled: DataFrame, rows: int) -> DataFrame:
     return chosen[0].unionByName(chosen[1])
 
 
+def _decay(clean: DataFrame, model: Model) -> float:
+    """lambda: the positive root of E[exp(lambda score)] = 1 over the words of ordinary documents.
+
+    The number of distinct scores is bounded by the vocabulary. Each counts half a word more than it was
+    seen, so that scores not seen in ordinary text do not make it unbounded."""
+    shared = _shared(clean.sparkSession, model)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from collections import Counter
+
+        known, seen = Model(**shared.value), Counter()
+        for batch in batches:
+            for t in strings(batch.column(0)):
+                n, _, scores = known.scored(t)
+                seen.update(scores)
+                seen[known.step] += n - len(scores)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(seen.keys()), pa.float64()), pa.array(list(seen.values()), pa.int64())], ["score", "n"]
+        )
+
+    rows = clean.select("text").mapInArrow(tally, "score double, n bigint").groupBy("score").agg(F.sum("n").alias("n"))
+    seen = {r["score"]: float(r["n"]) for r in rows.collect()}
+    for s in [*model.scores.values(), *model.stems.values()]:
+        seen[s] = seen.get(s, 0.0) + 0.5
+    values, weights = np.array([*seen, model.step]), np.array([*seen.values(), 1.0])
+    weights /= weights.sum()
+    if values @ weights >= 0:  # more toxic than ordinary words in ordinary text: only very high scores will count
+        return 1e-3
+    low, high = 0.0, 1.0
+    while weights @ np.exp(high * values) < 1 and high < 64:
+        high *= 2
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if weights @ np.exp(middle * values) < 1 else (low, middle)
+    return max(high, 1e-3)
+
+
 def _newton(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
     w = np.zeros(x.shape[1])
     ridge = penalty * np.eye(x.shape[1])
@@ -168,10 +215,12 @@ def fit(
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = materialize(_sample(known, fit_rows), "toxic-sample")
     sample = picked(docs, doc_id=doc_id, text=text).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    sample = materialize(sample.repartition(16), "toxic-texts")
+    # copies of a labelled text are one observation
+    sample = sample.groupBy(F.xxhash64("text").alias("h"), "toxic").agg(F.first("text").alias("text"))
+    sample = materialize(sample.select("text", F.col("toxic").cast("int")), "toxic-texts")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
-        return Model({}, -1.0, 1.0, 1.0, (-35.0, 0.0, 0.0, 0.0))
+        return Model({}, {}, -1.0, 1.0, 1.0, (-35.0, 0.0, 0.0, 0.0))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
@@ -179,54 +228,42 @@ def fit(
         total = (Counter(), Counter())
 
         def out() -> pa.RecordBatch:
-            words = list(total[0].keys() | total[1].keys())
-            columns = [pa.array(words, pa.binary())]
-            columns += [pa.array([t[w] for w in words], pa.int64()) for t in total]
-            return pa.RecordBatch.from_arrays(columns, ["word", "clean", "toxic"])
+            tokens = list(total[0].keys() | total[1].keys())
+            columns = [pa.array([k for k, _ in tokens]), pa.array([t for _, t in tokens], pa.binary())]
+            columns += [pa.array([t[w] for w in tokens], pa.int64()) for t in total]
+            return pa.RecordBatch.from_arrays(columns, ["stem", "token", "clean", "toxic"])
 
         for batch in batches:
             for t, c in zip(strings(batch.column(0)), batch.column(1).to_pylist()):
-                for words in words_of(t):
-                    total[c].update(words)
+                seen = {w for words in words_of(t) for w in words}
+                total[c].update((False, w) for w in seen)
+                total[c].update({(True, w[:STEM_BYTES]) for w in seen})
             if len(total[0]) + len(total[1]) > 500_000:
                 yield out()
                 total = (Counter(), Counter())
-        yield out()
+        if total[0] or total[1]:
+            yield out()
 
-    counts = sample.select("text", F.col("toxic").cast("int")).mapInArrow(count, "word binary, clean bigint, toxic bigint")
-    counts = materialize(counts.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxic-words")
-    n = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).first()
-    n_clean, n_toxic = float(n["clean"] or 0), float(n["toxic"] or 0)
-    both = max(n_clean + n_toxic, 1.0)
-    prior = F.lit(PRIOR) * (F.col("clean") + F.col("toxic")) / F.lit(both)
+    # documents with each token; occurrences in one document depend on each other
+    counts = sample.mapInArrow(count, "stem boolean, token binary, clean bigint, toxic bigint")
+    counts = counts.groupBy("stem", "token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    n_clean, n_toxic = float(sizes[0]), float(sizes[1])
+    prior = F.lit(PRIOR) * (F.col("clean") + F.col("toxic")) / F.lit(n_clean + n_toxic)
 
     def odds(column: str, size: float) -> Column:
         mine = F.col(column) + prior
-        return F.log(mine / (F.lit(size + PRIOR) - mine))
+        return F.log(mine / (F.lit(size + PRIOR + 1) - mine))
 
     value = odds("toxic", n_toxic) - odds("clean", n_clean)
     spread = 1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior)
-    rated = counts.select("word", "clean", value.alias("value"), (value / F.sqrt(spread)).alias("z"))
-    rows = rated.filter("value > 0 and z > 1.96").orderBy(F.desc("z"), "word").limit(vocabulary).collect()
-    scores = {bytes(r["word"]): min(r["value"], 8.0) - DRIFT for r in rows if r["value"] > DRIFT}
-    step = -DRIFT
-    seen = {bytes(r["word"]): r["clean"] for r in rows}
-    # distribution of scores over ordinary words; the drift keeps its mean below zero
-    values = np.array([step, *scores.values()])
-    weights = np.array([0.0, *[seen[w] for w in scores]])
-    weights[0] = max(n_clean - weights.sum(), 1.0)
-    weights /= weights.sum()
-    if values @ weights >= 0:
-        step -= float(values @ weights) + 0.1
-        values[0] = step
-    low, high = 0.0, 1.0
-    while weights @ np.exp(high * values) < 1 and high < 64:
-        high *= 2
-    for _ in range(60):
-        middle = (low + high) / 2
-        low, high = (middle, high) if weights @ np.exp(middle * values) < 1 else (low, middle)
-    model = Model(scores, step, max(high, 1e-3), 1.0, (0.0, 0.0, 0.0, 0.0))
-
+    rated = counts.select("stem", "token", value.alias("value"), (value / F.sqrt(spread)).alias("z"))
+    rated = rated.filter((F.col("value") > DRIFT) & (F.col("z") > MIN_Z))
+    rows = rated.orderBy(F.desc("z"), "stem", "token").limit(vocabulary).collect()
+    scores, stems = (
+        {bytes(r["token"]): min(r["value"], HIGHEST) - DRIFT for r in rows if r["stem"] == kind} for kind in (False, True)
+    )
+    model = Model(scores, stems, -DRIFT, 1.0, 1.0, (0.0, 0.0, 0.0, 0.0))
+    model.decay = _decay(sample.filter("toxic = 0"), model)
     shared = _shared(spark, model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
