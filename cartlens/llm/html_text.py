@@ -182,6 +182,8 @@ def main_text(html: str) -> str:
     parser = Lines()
     for at in range(0, len(html), PIECE):
         parser.feed(html[at : at + PIECE])
+    if re.match("<[a-zA-Z/!?]", parser.rawdata):  # the page ends inside a tag or comment, which is no text
+        parser.rawdata = ""
     parser.close()
     parser.leave(0)
     parser.end_line()

@@ -128,8 +128,10 @@ def matches(
         "doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(passages(whole_text())).alias("number", "passage")
     )
     # n distinct bigrams need more than n characters
-    rows = rows.filter(F.length("passage") > F.lit(low)).withColumn("w", normal_words(F.col("passage")))
-    rows = rows.withColumn("b", _bigrams("w")).withColumn("n", F.size("b"))
+    rows = rows.filter(F.length("passage") > F.lit(low))
+    # words and bigrams are made once: expressions are not merged, nor filters moved, across an explode
+    rows = rows.select("doc_id", "text_hash", "number", F.explode(F.array(normal_words(F.col("passage")))).alias("w"))
+    rows = rows.select("doc_id", "text_hash", "number", F.explode(F.array(_bigrams("w"))).alias("b")).withColumn("n", F.size("b"))
     rows = rows.filter((F.col("n") >= F.lit(low)) & (F.col("n") <= F.lit(high)) & (F.col("n") > 0))
     rows = rows.select("doc_id", "text_hash", "number", "n", F.explode("b").alias("bigram"))
     table = F.broadcast(grams.withColumnRenamed("bigram", "t_bigram"))

@@ -181,17 +181,28 @@ def _decay(clean: DataFrame, model: Model) -> float:
 
 
 def _newton(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
-    w = np.zeros(x.shape[1])
+    """Logistic regression with a ridge, by Newton steps that are halved until they help."""
+    scale = np.maximum(x.std(axis=0), 1e-9)
+    scale[0] = 1.0
+    z = x / scale
     ridge = penalty * np.eye(x.shape[1])
-    ridge[0, 0] = 1e-6
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        slope = x.T @ (p - y) + ridge @ w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, slope)
-        w -= step
-        if np.abs(step).max() < 1e-8:
+    ridge[0, 0] = 1e-3
+
+    def loss(w: np.ndarray) -> float:
+        return float(np.logaddexp(0, z @ w).sum() - y @ (z @ w) + w @ ridge @ w / 2)
+
+    w = np.zeros(x.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
+        slope = z.T @ (p - y) + ridge @ w
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge, slope)
+        size, now = 1.0, loss(w)
+        while loss(w - size * step) > now and size > 1e-6:
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
-    return w
+    return w / scale
 
 
 def fit(
@@ -215,8 +226,10 @@ def fit(
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = materialize(_sample(known, fit_rows), "toxic-sample")
     sample = picked(docs, doc_id=doc_id, text=text).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    # copies of a labelled text are one observation
-    sample = sample.groupBy(F.xxhash64("text").alias("h"), "toxic").agg(F.first("text").alias("text"))
+    # copies and most near copies of a labelled text are one observation: they share the words of least hash
+    words = F.array_distinct(F.split(F.coalesce("text", F.lit("")), r"\s+"))
+    least = [F.array_min(F.transform(words, lambda w, k=k: F.xxhash64(w, F.lit(k)))).alias(f"h{k}") for k in range(2)]
+    sample = sample.groupBy(*least, "toxic").agg(F.min("text").alias("text"))
     sample = materialize(sample.select("text", F.col("toxic").cast("int")), "toxic-texts")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
