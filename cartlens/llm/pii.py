@@ -49,6 +49,8 @@ SYLLABLES = {
 }
 _TITLE = "(?:" + "|".join(t for ts in TITLES.values() for t in ts) + r")\.?"
 _GIVEN = "(?:" + "|".join(n for ns in GIVEN.values() for n in ns) + ")"
+# the place of a word that may start a name; the first letter is looked at before the lists
+_START = r"(?<![\p{L}])(?=[\p{Lu}гκ])"
 
 # In this order: the first pattern that matches at a place decides.
 PATTERNS = {
@@ -65,8 +67,10 @@ PATTERNS = {
     ),
     "card": r"(?<![\w-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])",
     "id": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "name": rf"(?<![\p{{L}}]){_TITLE} (?:{CAPITALISED} ){{0,2}}{CAPITALISED}|(?<![\p{{L}}]){_GIVEN} {CAPITALISED}(?![\p{{L}}])",
+    "name": rf"{_START}(?:{_TITLE} (?:{CAPITALISED} ){{0,2}}{CAPITALISED}|{_GIVEN} {CAPITALISED}(?![\p{{L}}]))",
 }
+# What every entity has: a digit or an at sign, a word before a secret, or a form of address or a given name.
+MAYBE = rf"[0-9@]|\b(?:password|passwd|pwd|secret|token|api_key|apikey)[=:]|{_START}(?:{_TITLE}|{_GIVEN}) "
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 ROUNDS = 12
 
@@ -303,7 +307,7 @@ def replace(
     """
     names = {n: fresh(docs, n) for n in ("text_key", "mentions", "made")}
     found = F.regexp_extract_all(docs[text], F.lit(ANY), F.lit(0))
-    has = F.coalesce(docs[text].rlike(ANY), F.lit(False))
+    has = F.coalesce(docs[text].rlike(MAYBE) & docs[text].rlike(ANY), F.lit(False))
     plain = docs.filter(~has)
     marked = docs.filter(has).withColumn(names["text_key"], F.sha2(docs[text], 256))
     # one row for each different text, however many copies it has
