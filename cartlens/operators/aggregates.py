@@ -7,21 +7,29 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-def cents(column: str | Column) -> Column:
-    """Money as whole cents, so that sums are exact and do not depend on the order of rows.
-    As fast as adding doubles; a sum beyond 9e16 units of money fails instead of wrapping."""
+from cartlens.session import materialize
+
+MONEY = "decimal(28,10)"
+
+
+def exact(column: str | Column) -> Column:
+    """Money as a decimal of ten places, so that sums do not depend on the order of rows and amounts
+    below a cent count. A total beyond 1e28 fails instead of wrapping."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.rint(c * 100).cast("bigint")
+    return c.cast(MONEY)
 
 
 def money_sum(column: str | Column) -> Column:
     """Exact sum, 0 for no value, as double."""
-    return F.coalesce(F.sum(cents(column)), F.lit(0)) / F.lit(100.0)
+    return F.coalesce(F.sum(exact(column)).cast("double"), F.lit(0.0))
 
 
 def money_avg(column: str | Column) -> Column:
     c = F.col(column) if isinstance(column, str) else column
-    return F.try_divide(F.sum(cents(c)) / F.lit(100.0), F.count(c))
+    return F.try_divide(F.sum(exact(c)).cast("double"), F.count(c))
+
+
+CELLS = 1 << 15  # bits of Spark's bitmap aggregate
 
 
 def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -88,8 +96,17 @@ def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def pivot_sum(df: DataFrame, row: str, column: str, value: str, values: Sequence | None = None) -> DataFrame:
     """Money total per row and column value, 0 where there is none."""
-    pivoted = keyed(df, [row, column]).groupBy(row).pivot(column, list(values) if values else None)
-    return pivoted.agg(money_sum(value)).na.fill(0)
+    grouped = keyed(df, [row, column]).groupBy(row, column).agg(money_sum(value).alias("__v"))
+    return _pivoted(grouped, row, column, values)
+
+
+def _pivoted(grouped: DataFrame, row: str, column: str, values: Sequence | None) -> DataFrame:
+    """One column per value from rows of (row, column, __v). Without given values they are read from
+    the grouped rows, which are written once, so that df is not computed again to list them."""
+    if not values:
+        grouped = materialize(grouped, "pivot")
+    pivoted = grouped.groupBy(row).pivot(column, list(values) if values else None)
+    return pivoted.agg(F.first("__v")).na.fill(0)
 
 
 def dense_grid(df: DataFrame, row: str, column: str, value: str, out: str = "total") -> DataFrame:
@@ -100,8 +117,7 @@ def dense_grid(df: DataFrame, row: str, column: str, value: str, out: str = "tot
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
     """Count matrix with zeros."""
-    pivoted = keyed(df, [row, column]).groupBy(row).pivot(column, list(values) if values else None)
-    return pivoted.agg(F.count(F.lit(1))).na.fill(0)
+    return _pivoted(counts(df, row, column, name="__v"), row, column, values)
 
 
 def melt(df: DataFrame, ids: Sequence[str], names: str, values: str) -> DataFrame:
@@ -151,15 +167,20 @@ def measures_as_rows(df: DataFrame, measures: Mapping[str, Column]) -> DataFrame
 
 
 def low_cardinality_columns(df: DataFrame, limit: int, columns: Sequence[str] | None = None) -> list[str]:
-    """Columns with fewer than limit distinct values.
+    """Columns with fewer than limit distinct values, decided exactly.
 
-    A sketch first rules out columns with far more values, such as ids, in one pass without
-    shuffling them; only the rest are counted exactly. The sketch is nearly exact for small
-    numbers, and a column must exceed the limit twofold to be ruled out.
+    The number of hash cells a column's values fall into is never above their number. One pass
+    without shuffling values marks those cells, and a column with at least limit of them, such as an
+    id, is out for certain; the rest are counted.
     """
     columns = list(columns or df.columns)
-    estimates = df.agg(*[F.approx_count_distinct(F.col(c), 0.02).alias(c) for c in columns]).first()
-    few = [c for c in columns if estimates[c] < 2 * limit]
+    cells = df.agg(
+        *[
+            F.bitmap_count(F.bitmap_construct_agg(F.when(F.col(c).isNotNull(), F.pmod(F.xxhash64(c), F.lit(CELLS))))).alias(c)
+            for c in columns
+        ]
+    ).first()
+    few = [c for c in columns if cells[c] < limit]
     if not few:
         return []
     exact = df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in few]).first()

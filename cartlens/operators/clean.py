@@ -40,7 +40,10 @@ def in_lists(df: DataFrame, lists: Mapping[str, Sequence]) -> DataFrame:
 
 
 def in_year_from_month(df: DataFrame, column: str, year: int, after_month: int) -> DataFrame:
-    return df.filter((F.year(column) == year) & (F.month(column) > after_month))
+    """Rows of the year after a month (1 to 12), as two plain comparisons that scans can prune on."""
+    first = f"{year}-{after_month + 1:02d}-01" if after_month < 12 else f"{year + 1}-01-01"
+    low, high = (F.to_timestamp(F.lit(day)) for day in (first, f"{year + 1}-01-01"))
+    return df.filter((F.col(column) >= low) & (F.col(column) < high))
 
 
 def impute_truncated_mean(df: DataFrame, column: str) -> DataFrame:

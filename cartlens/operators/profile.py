@@ -26,8 +26,12 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], weight: str | None =
         x, w = F.col(c).cast("double"), F.when(F.col(c).isNotNull(), n)
         total = F.sum(w).cast("double")
         if weight:
-            mean = F.sum(x * w) / total
-            std = F.sqrt(F.try_divide(F.sum(x * x * w) - total * mean * mean, total - 1))
+            # measured from the median, which keeps the squares small
+            centre = F.lit(q[c][2]).cast("double")
+            shift = F.sum((x - centre) * w) / total
+            mean = centre + shift
+            squares = F.sum((x - centre) * (x - centre) * w) - total * shift * shift
+            std = F.sqrt(F.try_divide(F.greatest(squares, F.lit(0.0)), total - 1))
         else:
             mean, std = F.avg(x), F.stddev_samp(x)
         aggs += [F.coalesce(F.sum(w), F.lit(0)).cast("bigint").alias(f"{c}__n"), mean.alias(f"{c}__m"), std.alias(f"{c}__s")]
@@ -82,11 +86,15 @@ def shape_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _rows(df.agg(*aggs), entries)
 
 
+def fenced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns with null for values that are not strictly inside their IQR fence."""
+    limits = quantiles.iqr_limits(df, columns)
+    return df.select(*[F.when(quantiles.inside(c, limits[c], strict=True), F.col(c)).alias(c) for c in columns])
+
+
 def shape_inside_fence(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """shape_profile of the values strictly inside each column's IQR fence."""
-    limits = quantiles.iqr_limits(df, columns)
-    fenced = df.select(*[F.when(quantiles.inside(c, limits[c], strict=True), F.col(c)).alias(c) for c in columns])
-    return shape_profile(fenced, columns)
+    return shape_profile(fenced(df, columns), columns)
 
 
 def near_normal(df: DataFrame, columns: Sequence[str], limit: float = 2.0) -> DataFrame:
@@ -126,12 +134,13 @@ def density_curve(df: DataFrame, column: str, points: int = 50, weight: str | No
     counted = quantiles.value_counts(df, [column], weight)
     x, n = F.col("value"), F.col("n").cast("double")
     total = F.sum(n)
-    mean = F.sum(x * n) / total
+    off = x - counted.agg(F.avg("value")).scalar()  # keeps the squares small
+    mean = F.sum(off * n) / total
     moments = counted.agg(
         F.sum("n").alias("n"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
-        F.sqrt((F.sum(x * x * n) - total * mean * mean) / (total - 1)).alias("std"),
+        F.sqrt((F.sum(off * off * n) - total * mean * mean) / (total - 1)).alias("std"),
     ).first()
     bandwidth = moments["std"] * moments["n"] ** -0.2
     step = (moments["high"] - moments["low"]) / (points - 1)

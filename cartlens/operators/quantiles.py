@@ -1,11 +1,10 @@
 """Exact quantiles with linear interpolation, and what is built on them.
 
 The data is first counted per distinct value, which collapses hot values before the shuffle.
-Columns with a modest number of distinct values (measured, not assumed) use Spark's
-percentile over value and count. Wider columns are narrowed by counting: every round splits
-the interval around each wanted rank into equal parts, counts them, and keeps the part that
-holds the rank, until few distinct values are left. No task ever sorts or holds a whole
-column.
+Ranks are then found by counting, in the same way whatever the size: every round splits the
+interval around each wanted rank into equal parts, counts them, and keeps the part that holds the
+rank, until few distinct values are left. No task ever sorts or holds a whole column. Infinite
+values have ranks like others but are only counted.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from pyspark.sql import functions as F
 
 from cartlens.session import materialize
 
-NARROW_LIMIT = 200_000
 PARTS = 1024
 FINAL_LIMIT = 4096
 
@@ -42,36 +40,27 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     weight: str | None = None,
-    narrow_limit: int = NARROW_LIMIT,
     final_limit: int = FINAL_LIMIT,
 ) -> dict[str, list[float | None]]:
     """Quantiles per column. weight counts a row several times."""
     counted = materialize(value_counts(df, columns, weight), "value-counts")
+    finite = F.abs("value") < math.inf
     sizes = {
         r["column"]: r
         for r in counted.groupBy("column")
         .agg(
             F.count(F.lit(1)).alias("distinct"),
             F.sum("n").alias("n"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
+            F.min(F.when(finite, F.col("value"))).alias("low"),
+            F.max(F.when(finite, F.col("value"))).alias("high"),
+            F.coalesce(F.sum(F.when(F.col("value") == -math.inf, F.col("n"))), F.lit(0)).alias("below"),
+            F.coalesce(F.sum(F.when(F.col("value") == math.inf, F.col("n"))), F.lit(0)).alias("above"),
         )
         .collect()
     }
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
-    narrow = [c for c, r in sizes.items() if r["distinct"] <= narrow_limit]
-    if narrow:
-        rows = (
-            counted.filter(F.col("column").isin(narrow))
-            .groupBy("column")
-            .agg(F.percentile("value", [float(p) for p in probabilities], F.col("n")).alias("q"))
-            .collect()
-        )
-        for r in rows:
-            result[r["column"]] = list(r["q"])
-    wide = {c: r for c, r in sizes.items() if r["distinct"] > narrow_limit}
-    if wide:
-        result.update(_by_counting(counted, wide, probabilities, final_limit))
+    if sizes:
+        result.update(_by_counting(counted, sizes, probabilities, final_limit))
     return result
 
 
@@ -79,10 +68,16 @@ def _by_counting(counted: DataFrame, sizes: Mapping, probabilities: Sequence[flo
     places = {c: [float(p) * (r["n"] - 1) for p in probabilities] for c, r in sizes.items()}
     ranks = {(c, k) for c, ps in places.items() for p in ps for k in (math.floor(p), math.ceil(p))}
     # (column, rank) -> interval that holds it, rows below the interval, distinct values in it
-    open_ = {
-        (c, k): (sizes[c]["low"], sizes[c]["high"], 0, sizes[c]["distinct"]) for c, k in ranks
-    }
+    open_: dict[tuple[str, int], tuple] = {}
     found: dict[tuple[str, int], float] = {}
+    for c, k in ranks:
+        r = sizes[c]
+        if k < r["below"]:
+            found[c, k] = -math.inf
+        elif k >= r["n"] - r["above"]:
+            found[c, k] = math.inf
+        else:
+            open_[c, k] = (r["low"], r["high"], r["below"], r["distinct"])
     while open_:
         for target, (low, high, _, _) in list(open_.items()):
             if low == high:
@@ -101,6 +96,8 @@ def _by_counting(counted: DataFrame, sizes: Mapping, probabilities: Sequence[flo
             seen = open_[target][2]
             for low, high, n, distinct in parts:
                 if seen + n > target[1]:
+                    if open_[target][:2] == (low, high):
+                        raise RuntimeError(f"the interval around rank {target[1]} of {target[0]} does not shrink")
                     open_[target] = (low, high, seen, distinct)
                     break
                 seen += n
@@ -109,7 +106,7 @@ def _by_counting(counted: DataFrame, sizes: Mapping, probabilities: Sequence[flo
         out[c] = []
         for p in ps:
             below, above = found[c, math.floor(p)], found[c, math.ceil(p)]
-            out[c].append(below + (above - below) * (p - math.floor(p)))
+            out[c].append(below if below == above else below + (above - below) * (p - math.floor(p)))
     return out
 
 
@@ -140,7 +137,10 @@ def _part_counts(counted: DataFrame, targets: Mapping) -> dict:
     if not targets:
         return {}
     width = (F.col("high") / PARTS) - (F.col("low") / PARTS)
-    part = F.when(width > 0, F.floor((F.col("value") - F.col("low")) / width)).otherwise(F.lit(0))
+    # divided first, so that the span of very large values does not overflow
+    part = F.when(width > 0, F.floor(F.col("value") / width - F.col("low") / width)).otherwise(
+        (F.col("value") > F.col("low")).cast("bigint")  # too narrow to divide: at least the lowest value comes off
+    )
     grouped = (
         _matched(counted, targets)
         .groupBy("column", "rank", part.alias("part"))

@@ -12,6 +12,14 @@ def _x(c: str) -> Column:
     return F.col(c).cast("double")
 
 
+def centred(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns minus their plain means. Spread and correlation stay the same, and the squares of
+    large values with a small spread do not cancel."""
+    columns = list(dict.fromkeys(columns))
+    means = df.agg(F.struct(*[F.coalesce(F.avg(_x(c)), F.lit(0.0)).alias(c) for c in columns])).scalar()
+    return df.withColumns({c: _x(c) - means[c] for c in columns})
+
+
 def _known(c: str, n: str) -> Column:
     return F.when(F.col(c).isNotNull(), F.col(n))
 
@@ -34,6 +42,7 @@ def standardised_means(df: DataFrame, by: str, columns: Sequence[str], n: str =
     Standardising is linear, so the group mean of the standardised column follows from the
     plain group mean and the overall moments.
     """
+    df = centred(df, columns)
     overall = df.agg(
         F.struct(
             *[
@@ -61,6 +70,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str], n: str | None = Non
     Rows with a null in either column do not count for that pair.
     """
     columns = list(columns)
+    df = centred(df, columns)
     aggs, entries = [], []
     for i, a in enumerate(columns):
         for j, b in enumerate(columns):
@@ -96,6 +106,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], n: str | None = No
 
 def correlation_with(df: DataFrame, target: str, columns: Sequence[str], n: str | None = None, above: float | None = None) -> DataFrame:
     """Features by absolute correlation with the target, strongest first."""
+    df = centred(df, [*columns, target])
     aggs = [(_wcorr(c, target, n) if n else F.corr(_x(c), _x(target))).alias(c) for c in columns]
     long = df.agg(*aggs).unpivot([], list(columns), "feature", "correlation")
     long = long.select("feature", F.abs("correlation").alias("correlation"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions import dates, labels
-from cartlens.operators.aggregates import cents, money_sum
+from cartlens.operators.aggregates import exact, money_sum
 from cartlens.operators.keyjoin import attach_per_key
 from cartlens.session import materialize
 
@@ -33,7 +33,7 @@ def order_facts(wide: DataFrame) -> DataFrame:
         .groupBy(PERSON, "customer_id", "order_id", "order_purchase_timestamp", "late_deliveries", "review_score")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum(cents("payment_value")).alias("paid_cents"),
+            F.sum(exact("payment_value")).alias("paid"),
         )
     )
 
@@ -65,7 +65,7 @@ class CustomerFacts:
         per person; recency counts from the person's last purchase."""
         grouped = self.orders.groupBy(PERSON).agg(
             F.sum("n_rows").alias("frequency"),
-            (F.sum("paid_cents") / F.lit(100.0)).alias("monetary_value"),
+            F.sum(F.col("paid").cast("decimal(28,10)")).cast("double").alias("monetary_value"),
             F.min("order_purchase_timestamp").alias("first_purchase"),
             F.max("order_purchase_timestamp").alias("last_purchase"),
             F.sum(F.col("late_deliveries") * F.col("n_rows")).alias("late_deliveries"),
@@ -122,7 +122,7 @@ def customer_rollup(rows: DataFrame) -> DataFrame:
     in CustomerFacts.customers. The largest recency of a person belongs to its first purchase,
     so the last purchase of all is needed only after grouping, from one row per person.
     """
-    paid, n = F.sum(cents("payment_value")), F.count(F.lit(1))
+    paid, n = F.sum(exact("payment_value")), F.count(F.lit(1))
     first, last = F.min("order_purchase_timestamp"), F.max("order_purchase_timestamp")
     grouped = rows.groupBy(PERSON).agg(
         F.max("customer_zip_code_prefix").alias("customer_zip_code_prefix"),
@@ -137,11 +137,11 @@ def customer_rollup(rows: DataFrame) -> DataFrame:
         money_sum("freight_value").alias("freight_value"),
         F.max("payment_type").alias("payment_type"),
         F.max("payment_installments").alias("payment_installments"),
-        (paid / F.lit(100.0)).alias("payment_value"),
+        paid.cast("double").alias("payment_value"),
         F.avg("review_score").alias("review_score"),
         F.lit(1).cast("bigint").alias("num_orders"),
         n.cast("double").alias("frequency"),
-        ((paid.cast("decimal(20,0)") * n.cast("decimal(16,0)")).cast("double") / F.lit(100.0)).alias("monetary_value"),
+        (paid * n.cast("decimal(16,0)")).cast("double").alias("monetary_value"),
         dates.whole_days(last, first).alias("customer_tenure"),
         F.sum(late_column()).alias("late_deliveries"),
         first.alias("__first"),

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions import dates, labels
 from cartlens.operators import clean
-from cartlens.operators.keyjoin import HOT_SHARE, hot_keys, split_hot_join
+from cartlens.operators.keyjoin import HOT_SHARE, PART_ROWS, hot_keys, split_hot_join
 
 ORDER_DROPS = ("order_delivered_carrier_date", "order_approved_at")
 PRODUCT_DROPS = (
@@ -63,13 +64,16 @@ TABLE_NAMES = (
 )
 
 
-def hot_orders(t: Mapping[str, DataFrame], hot_share: float = HOT_SHARE) -> list:
-    """Orders that hold an outsized share of the payments, reviews or items."""
-    found = {key for name in ORDER_PARTS for key in hot_keys(t[name], "order_id", hot_share)}
-    return sorted(found)
+def hot_orders(t: Mapping[str, DataFrame], hot_share: float = HOT_SHARE, part_rows: int = PART_ROWS) -> dict:
+    """Orders that hold an outsized share of the payments, reviews or items, with the parts they take."""
+    found: dict = {}
+    for name in ORDER_PARTS:
+        for key, parts in hot_keys(t[name], "order_id", hot_share, part_rows).items():
+            found[key] = max(parts, found.get(key, 0))
+    return found
 
 
-def join_wide(t: Mapping[str, DataFrame], hot: Sequence = ()) -> DataFrame:
+def join_wide(t: Mapping[str, DataFrame], hot: Mapping = MappingProxyType({})) -> DataFrame:
     """Inner-join the eight tables; items, payments and reviews of an order multiply.
 
     The order-grain join with customers comes first, before rows multiply. Payments, reviews
@@ -99,7 +103,7 @@ def cleaned_tables(t: Mapping[str, DataFrame], drop: bool = True) -> dict[str, D
     }
 
 
-def build_wide(t: Mapping[str, DataFrame], drop: bool = True, hot: Sequence = ()) -> DataFrame:
+def build_wide(t: Mapping[str, DataFrame], drop: bool = True, hot: Mapping = MappingProxyType({})) -> DataFrame:
     """The ETL result. drop=False keeps the columns the ETL discards."""
     return join_wide(cleaned_tables(t, drop), hot)
 

@@ -35,15 +35,45 @@ def selected_view(rows: DataFrame, seller_states: Sequence[str] | None, customer
     return dashboard_view(clean.in_lists(rows, lists), cutoff)
 
 
-def geo_figures(seller_states=None, customer_states=None, cutoff: str = "2018-09"):
-    """The live geography page: the totals use all rows, the rest the selected states."""
+def geo_partials(seller_states=None, customer_states=None, cutoff: str = "2018-09"):
+    """What one micro-batch adds to the live geography page: sums over all rows, and sums per order and city
+    of the selected ones. Partials of any number of batches add up to the figures."""
 
-    def on_view(figure):
-        return lambda rows: figure(selected_view(rows, seller_states, customer_states, cutoff))
+    def totals(rows: DataFrame) -> DataFrame:
+        return rows.agg(
+            F.sum(agg.exact("freight_value")).alias("freight"), F.count("freight_value").alias("freights"),
+            F.sum(agg.exact("payment_value")).alias("paid"),
+            F.sum("review_score").cast("bigint").alias("score"), F.count("review_score").alias("scores"),
+        )
 
-    return {
-        "totals": kpis.live_figures,
-        "orders_per_state": on_view(kpis.orders_per_state),
-        "fastest_cities": on_view(kpis.fastest_cities),
-        "most_delayed_cities": on_view(kpis.most_delayed_cities),
+    def places(rows: DataFrame) -> DataFrame:
+        view = selected_view(rows, seller_states, customer_states, cutoff)
+        sums = []
+        for c in PLACE_DAYS.values():
+            sums += [F.sum(c).alias(c), F.count(c).alias(f"{c}_n")]
+        return view.groupBy("customer_state", "customer_city", "order_id").agg(*sums)
+
+    return {"totals": totals, "places": places}
+
+
+# The figures of the page and the day column each is the mean of.
+PLACE_DAYS = {"fastest_cities": "difference_purchased_delivered", "most_delayed_cities": "estimated_delivered_difference"}
+
+
+def geo_figures(totals: DataFrame, places: DataFrame, k: int = 5) -> dict[str, DataFrame]:
+    """The four figures of the page from the partials of all micro-batches so far."""
+    freight = F.sum("freight").cast("double")
+    figures = {
+        "totals": totals.agg(
+            F.try_divide(freight, F.sum("freights")).alias("average_freight"),
+            F.coalesce(F.sum("paid").cast("double"), F.lit(0.0)).alias("total_payment"),
+            F.try_divide(F.sum("score").cast("double"), F.sum("scores")).alias("average_score"),
+            F.coalesce(freight, F.lit(0.0)).alias("total_freight"),
+        ),
+        "orders_per_state": kpis.orders_per_state(places),
     }
+    for name, c in PLACE_DAYS.items():
+        mean = F.try_divide(F.sum(c).cast("double"), F.sum(f"{c}_n")).alias("mean_days")
+        means = agg.keyed(places, ["customer_city"]).groupBy("customer_city").agg(mean)
+        figures[name] = agg.top_k(means.filter(F.col("mean_days").isNotNull()), "mean_days", k, ["customer_city"], ascending=True)
+    return figures

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,25 +15,21 @@ from cartlens.session import scratch_path
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+_STARTING = Lock()
+
+
 @contextmanager
 def stream_settings(spark: SparkSession):
-    """Settings a query takes over when it starts. On a cluster join state is kept in RocksDB
-    instead of the heap; on one machine every shuffle partition of every join would be a state
-    store of its own, so there are no more of them than cores."""
-    wanted = {}
-    if spark.sparkContext.master.startswith("local"):
-        width = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-        wanted["spark.sql.shuffle.partitions"] = str(width)
-    else:
-        wanted["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    """Settings a query takes over when it starts: state lies in RocksDB, not on the heap. One query starts
+    at a time, so that none takes over another's settings."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    with _STARTING:
+        before = spark.conf.get(key, None)
+        spark.conf.set(key, ROCKSDB)
+        try:
+            yield
+        finally:
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def start(writer, spark: SparkSession, checkpoint: str, once: bool = True, interval: str | None = None) -> StreamingQuery:
@@ -88,16 +85,13 @@ def to_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoin
     return start(df.writeStream.outputMode("append").foreachBatch(write), df.sparkSession, checkpoint, **kw)
 
 
-def figure_writer(path: str, figures: Mapping[str, Callable[[DataFrame], DataFrame]]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function that writes several figures of each micro-batch."""
+def figure_writer(path: str, partials: Mapping[str, Callable[[DataFrame], DataFrame]]) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function that writes what each micro-batch adds to some figures. Each partial reads the
+    micro-batch for itself, and one that is run again overwrites its own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for name, figure in figures.items():
-                figure(batch).write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        for name, partial in partials.items():
+            partial(batch).write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
 
     return write
 

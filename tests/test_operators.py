@@ -3,7 +3,7 @@
 import math
 
 import numpy as np
-from conftest import rows
+from conftest import rows, values
 from pyspark.sql import functions as F
 
 from cartlens.operators import aggregates as agg
@@ -195,7 +195,33 @@ def test_chi_square(spark):
 
 
 def test_normality(spark):
+    """The omnibus statistic of the published formula; its tail of chi-square with two degrees is exp(-x / 2)."""
     rng = np.random.default_rng(0)
-    data = [(float(a), float(b)) for a, b in zip(rng.normal(size=500), rng.exponential(size=500))]
-    got = {r["column"]: r["is_normal"] for r in stattests.normality(spark.createDataFrame(data, "n double, e double"), ["n", "e"]).collect()}
-    assert got == {"n": 1, "e": 0}
+    data = [(float(a), float(b), 3.0) for a, b in zip(rng.normal(size=500), rng.exponential(size=500))]
+    df = spark.createDataFrame(data, "n double, e double, c double")
+    got = {r["column"]: r for r in stattests.normality(df, ["n", "e", "c"], alpha=0.01).collect()}
+    for k, name in enumerate("ne"):
+        x = np.array([r[k] for r in data])
+        m = x - x.mean()
+        skew, kurtosis = (m**3).mean() / (m**2).mean() ** 1.5, (m**4).mean() / (m**2).mean() ** 2 - 3
+        statistic = len(x) / 6 * (skew**2 + kurtosis**2 / 4)
+        assert math.isclose(got[name]["statistic"], statistic, rel_tol=1e-9)
+        assert math.isclose(got[name]["p_value"], math.exp(-statistic / 2), rel_tol=1e-9, abs_tol=1e-300)
+    assert got["n"]["is_normal"] == 1 and got["e"]["is_normal"] == 0 and got["c"]["statistic"] is None
+
+
+def test_money_below_a_cent_counts(spark):
+    df = spark.range(1000).select(F.lit(0.004).alias("v"), F.lit("a").alias("k"))
+    assert values(df.agg(agg.money_sum("v"))) == [4.0]
+    assert values(df.agg(agg.money_avg("v"))) == [0.004]
+    assert values(agg.pivot_sum(df.withColumn("c", F.lit("x")), "k", "c", "v").select("x")) == [4.0]
+
+
+def test_large_values_with_a_small_spread(spark):
+    data = [(k % 3, float(k % 3) + (k % 7) / 10, float(k % 5), 1 + k % 2) for k in range(300)]
+    small = spark.createDataFrame(data, "g int, x double, y double, n int")
+    large = small.withColumns({"x": F.col("x") + 1e9, "y": F.col("y") + 1e9})
+    f = [stattests.anova(d, "g", ["x"], "n").first()["f_statistic"] for d in (small, large)]
+    assert abs(f[0] - f[1]) < 1e-4 * f[0]
+    c = [{(r[0], r[1]): r[2] for r in weighted.correlation_pairs(d, ["x", "y"], "n").collect()} for d in (small, large)]
+    assert all(abs(c[0][k] - c[1][k]) < 1e-6 for k in c[0])

@@ -31,10 +31,9 @@ def shapes():
 
 
 @pytest.mark.parametrize("name,x", list(shapes()), ids=lambda v: v if isinstance(v, str) else "")
-@pytest.mark.parametrize("narrow", [True, False])
-def test_quantiles_equal_numpy(spark, name, x, narrow):
-    limit = 200_000 if narrow else 0
-    got = quantiles.exact_quantiles(frame(spark, x), ["x"], PROBABILITIES, narrow_limit=limit, final_limit=16)["x"]
+@pytest.mark.parametrize("final", [16, 4096])
+def test_quantiles_equal_numpy(spark, name, x, final):
+    got = quantiles.exact_quantiles(frame(spark, x), ["x"], PROBABILITIES, final_limit=final)["x"]
     want = np.quantile(x, PROBABILITIES)
     assert np.allclose(got, want, rtol=1e-12, atol=1e-12)
 
@@ -42,15 +41,13 @@ def test_quantiles_equal_numpy(spark, name, x, narrow):
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.floats(-1e9, 1e9, allow_nan=False), min_size=1, max_size=60))
 def test_quantiles_property(spark, x):
-    got = quantiles.exact_quantiles(frame(spark, x), ["x"], (0.25, 0.5), narrow_limit=0, final_limit=4)["x"]
+    got = quantiles.exact_quantiles(frame(spark, x), ["x"], (0.25, 0.5), final_limit=4)["x"]
     assert np.allclose(got, np.quantile(x, (0.25, 0.5)), rtol=1e-9, atol=1e-9)
 
 
 def test_quantiles_ignore_null_and_nan_and_use_weights(spark):
     df = spark.createDataFrame([(1.0, 3), (2.0, 1), (None, 9), (float("nan"), 9)], "x double, n int")
-    for limit in (10, 0):
-        q = quantiles.exact_quantiles(df, ["x"], (0.5, 1.0), "n", narrow_limit=limit)
-        assert q["x"] == [1.0, 2.0]
+    assert quantiles.exact_quantiles(df, ["x"], (0.5, 1.0), "n")["x"] == [1.0, 2.0]
     empty = quantiles.exact_quantiles(df.filter("n > 100"), ["x"], (0.5,))
     assert empty["x"] == [None]
 
@@ -101,7 +98,7 @@ def test_hot_key_join_equals_plain_join(spark):
     data = [(i, 0 if i % 3 == 0 else i) for i in range(3000)]
     df = spark.createDataFrame(data, "r int, k int")
     per = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("r").alias("s"))
-    got = attach_per_key(df, per, "k", "n", ["r"], hot_share=0.01, spread=8)
+    got = attach_per_key(df, per, "k", "n", ["r"], hot_share=0.01, part_rows=30)
     assert rows(got.select("r", "k", "n", "s")) == rows(df.join(per, "k").select("r", "k", "n", "s"))
 
 
@@ -112,7 +109,7 @@ def test_hot_key_is_spread(spark):
         spark.conf.set(key, "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        got = attach_per_key(df, per, "k", "n", ["r"], spread=16)
+        got = attach_per_key(df, per, "k", "n", ["r"], part_rows=250)
         sizes = got.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -131,7 +128,7 @@ def test_copies_get_distinct_message_keys(spark):
 
 def test_quantile_of_many_values_rounds(spark):
     df = spark.range(200_000).select((F.col("id") * 0.37).alias("x"))
-    got = quantiles.exact_quantiles(df, ["x"], (0.33,), narrow_limit=1000, final_limit=128)["x"][0]
+    got = quantiles.exact_quantiles(df, ["x"], (0.33,), final_limit=128)["x"][0]
     assert math.isclose(got, 0.33 * 199_999 * 0.37, rel_tol=1e-12)
 
 
@@ -143,7 +140,21 @@ def test_hot_orders_are_found_and_joined_whole(spark, tmp_path):
     spark.createDataFrame(data, "k long, v long").repartition(4).write.parquet(f"{tmp_path}/rows")
     items = spark.read.parquet(f"{tmp_path}/rows")
     heads = spark.range(6000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    hot = hot_keys(items, "k", 0.01)
-    assert hot == [0]
-    got = split_hot_join(items, heads, "k", hot, spread=8)
+    hot = hot_keys(items, "k", 0.01, part_rows=300)
+    assert hot == {0: 7}
+    got = split_hot_join(items, heads, "k", hot)
     assert rows(got.select("k", "v", "w")) == rows(items.join(heads, "k").select("k", "v", "w"))
+
+
+def test_infinite_values_have_ranks(spark):
+    x = [math.inf, 1.0, 2.0, -math.inf, 3.0, math.inf]
+    got = quantiles.exact_quantiles(frame(spark, x), ["x"], (0.0, 0.2, 0.4, 0.5, 0.8, 1.0), final_limit=1)["x"]
+    assert got == [-math.inf, 1.0, 2.0, 2.5, math.inf, math.inf]
+    only = quantiles.exact_quantiles(frame(spark, [math.inf] * 3), ["x"], (0.0, 0.5, 1.0))["x"]
+    assert only == [math.inf] * 3
+
+
+def test_wide_spans_and_neighbours(spark):
+    x = [-1.7e308, 1.7e308, 5e-324, 1e-323, 0.0]
+    got = quantiles.exact_quantiles(frame(spark, x), ["x"], (0.25, 0.5, 0.75), final_limit=1)["x"]
+    assert got == [0.0, 5e-324, 1e-323]

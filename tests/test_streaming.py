@@ -108,7 +108,7 @@ def test_bounded_join_drops_what_arrives_too_late(spark):
         streams[name] = stream(spark, f"{path}/{name}", schema)
     bounded = joins.join_streams(streams, delay="1 hour", within="2 days").select("order_id", "item", "paid", "score")
     assert rows(sinks.drain(bounded, "bounded-out")) == [("o1", 1, 5, 4), ("o1", 2, 5, 4)]
-    whole = joins.join_streams(streams).select("order_id", "person", "item", "paid", "score")
+    whole = joins.join_streams(streams, delay="1 hour", within="20 days").select("order_id", "person", "item", "paid", "score")
     assert len(rows(sinks.drain(whole, "whole-out"))) == 3
 
 
@@ -119,7 +119,17 @@ def test_live_geo_figures_over_micro_batches(spark, folder):
 
     d = Data(spark, folder)
     states = [r[0] for r in d["sellers"].select("seller_state").distinct().orderBy("seller_state").limit(5).collect()]
-    figures = live.geo_figures(seller_states=states, cutoff=testdata.MONTH_CUTOFF)
-    got = rows(figures["orders_per_state"](d.wide))
-    assert got == rows(kpis.orders_per_state(d.view.filter(F.col("seller_state").isin(states))))
-    assert rows(figures["totals"](d.wide)) == rows(kpis.live_figures(d.wide))
+    partials = live.geo_partials(seller_states=states, cutoff=testdata.MONTH_CUTOFF)
+    # rows of one order in several batches
+    part = F.pmod(F.xxhash64("order_id", "product_id", "review_id"), F.lit(3))
+    merged = {}
+    for name, partial in partials.items():
+        for k in range(3):
+            one = partial(d.wide.filter(part == k))
+            merged[name] = one if k == 0 else merged[name].unionByName(one)
+    got = live.geo_figures(**merged)
+    view = d.view.filter(F.col("seller_state").isin(states))
+    assert rows(got["orders_per_state"]) == rows(kpis.orders_per_state(view))
+    assert rows(got["totals"]) == rows(kpis.live_figures(d.wide))
+    assert rows(got["fastest_cities"]) == rows(kpis.fastest_cities(view))
+    assert rows(got["most_delayed_cities"]) == rows(kpis.most_delayed_cities(view))
