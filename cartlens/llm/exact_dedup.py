@@ -107,7 +107,7 @@ def filter_of(keys: DataFrame, bits: int, hits: int) -> bytes:
     counted = keys.mapInArrow(count, "block int, once binary, twice binary")
     merged = counted.groupBy("block").applyInArrow(merge, "block int, bits binary")
     out = bytearray(bits // 8)
-    for r in merged.toLocalIterator():
+    for r in merged.collect():  # bits / 8 bytes in all
         at = r["block"] * (BLOCK_BITS // 8)
         out[at : at + BLOCK_BITS // 8] = r["bits"]
     return bytes(out)

@@ -10,10 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartlens.llm import decontaminate, exact_dedup, packing, simhash
+from cartlens.llm import decontaminate, exact_dedup, packing, simhash, toxicity
 from cartlens.llm.common import prepare
 from cartlens.llm.queries import toxicity_model
-from cartlens.llm import toxicity
 from cartlens.llm.tokens import vocabulary_path
 from cartlens.session import materialize
 
@@ -28,12 +27,14 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the smallest doc_id stays."""
-    return exact_dedup.deduplicate(prepare(spark) and docs)
+    prepare(spark)
+    return exact_dedup.deduplicate(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each SimHash group, the document with the smallest doc_id stays."""
-    return simhash.deduplicate(prepare(spark) and docs)
+    prepare(spark)
+    return simhash.deduplicate(docs)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,8 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of power-of-two length, with a checksum of their ids."""
-    return packing.piece_digests(packing.decompose(prepare(spark) and docs, vocabulary_path()))
+    prepare(spark)
+    return packing.piece_digests(packing.decompose(docs, vocabulary_path()))
 
 
 STAGES: list[tuple[str, Stage]] = [
