@@ -137,8 +137,12 @@ def fit(
     classes = known.select("lang").distinct().count()
     if not classes:
         return None
+    # a frequent language is thinned by a hash to a few times what is wanted before its rows meet and are ranked
+    wanted = max(1, fit_rows // classes)
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    thinned = known.join(sizes, "lang").filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("n")) < 4 * wanted)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.distinct().withColumn("place", place).filter(F.col("place") <= max(1, fit_rows // classes))
+    chosen = thinned.select("doc_id", "lang").distinct().withColumn("place", place).filter(F.col("place") <= wanted)
     chosen = materialize(chosen.select("doc_id", "lang"), "language-sample")
     # at most fit_rows ids
     sample = picked(docs, doc_id=doc_id, text=text).filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
