@@ -386,16 +386,22 @@ def near_duplicates(
     other; a null doc_id counts only where a component has no other. Repeated rows share their
     fingerprint; other columns are ignored; an empty table gives an empty result.
     """
+    return _grouped(docs, doc_id, text, shingle, distance, bucket_rows).drop("root")
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, distance: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """near_duplicates with root, a fingerprint that stands for the component: if ids repeat, two components
+    can have the same smallest id."""
     prints = materialize(fingerprints(docs, doc_id, text, shingle), "fingerprints")
     classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     nodes = materialize(components(links(classes, distance, bucket_rows)), "components")
     roots = nodes.join(classes, nodes["node"] == classes["fp"]).groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = nodes.join(roots, "root").select(F.col("node").alias("fp"), F.col("component_id").alias("linked_id"))
-    ids = materialize(
-        classes.join(linked, "fp", "left").select("fp", F.coalesce("linked_id", "first_id").alias("component_id")), "component-ids"
+    linked = nodes.join(roots, "root").select(F.col("node").alias("fp"), "root", F.col("component_id").alias("linked_id"))
+    ids = classes.join(linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("linked_id", "first_id").alias("component_id")
     )
-    return prints.join(ids, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    return prints.join(materialize(ids, "component-ids"), "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root"
     )
 
 
@@ -412,7 +418,7 @@ def deduplicate(
     rows to leave out are a narrow list of ids; texts are moved once, for the join with it. Ids
     that stand on several rows are rare; their rows are taken apart by fingerprint.
     """
-    groups = materialize(near_duplicates(docs, doc_id, text, shingle, distance), "near-groups")
+    groups = materialize(_grouped(docs, doc_id, text, shingle, distance), "near-groups")
     several = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
     several = materialize(several, "several-ids")
     lost = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
@@ -437,6 +443,4 @@ def deduplicate(
     rows = rows.join(kept, rows[doc_id].eqNullSafe(kept[name]) & (rows[column] == kept["fingerprint"]))
     order = F.struct(kept["fingerprint"], rows[text].isNull(), rows[text])
     first = F.min_by(F.struct(*[rows[c] for c in docs.columns]), order).alias("row")
-    # a struct as the key, so that a null id makes a group of its own
-    group = F.struct(kept["component_id"]).alias("group")
-    return single.unionByName(rows.groupBy(group).agg(first).select("row.*"))
+    return single.unionByName(rows.groupBy(kept["root"]).agg(first).select("row.*"))
