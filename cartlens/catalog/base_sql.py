@@ -74,8 +74,8 @@ CTES = {
                o_orderdate + to_hours((o_orderkey % 53) * 21 + nth * 48) AS review_creation_date,
                CASE WHEN o_orderkey % 29 <> 0 THEN
                    o_orderdate + to_hours((o_orderkey % 53) * 21 + nth * 48 + (o_orderkey % 37) * 31 - 20) END AS review_answer_timestamp
-        FROM orders JOIN (SELECT 0 AS nth UNION ALL SELECT 1) ON nth = 0 OR o_orderkey % 17 = 0
-        WHERE o_orderkey % 11 <> 0""",
+        FROM orders JOIN (SELECT 0 AS nth UNION ALL SELECT 1) ON nth = 0 OR o_orderkey % 17 = 0""",
+    "c_some_reviews": "SELECT * FROM c_reviews WHERE order_id % 11 <> 0",
     "c_sellers": """
         SELECT s_suppkey AS seller_id, CAST(s_suppkey % 1000 AS INTEGER) AS seller_zip_code_prefix,
                'CITY_' || (s_suppkey % 40) AS seller_city, n_name AS seller_state

@@ -10,6 +10,7 @@ from cartlens.functions import dates, labels
 from cartlens.operators import aggregates as agg
 from cartlens.operators import clean, profile, quantiles
 from cartlens.plans import wide
+from cartlens.streaming.joins import PRODUCT_DEFAULTS
 
 
 @query("b1_delivered_orders", "SELECT order_id, customer_id, order_status FROM c_orders WHERE order_status = 'delivered'")
@@ -36,14 +37,6 @@ def b4(d: Data):
     return wide.clean_products(d["products"]).select("product_id", "product_category_name")
 
 
-PRODUCT_DEFAULTS = {
-    "product_category_name": "unknown",
-    "product_name_lenght": 48.0,
-    "product_description_lenght": 771.0,
-    "product_photos_qty": 2.0,
-}
-
-
 @query(
     "b5_fill_many_columns",
     """SELECT product_id, coalesce(product_category_name, 'unknown') AS product_category_name,
@@ -55,7 +48,7 @@ def b5(d: Data):
     return clean.fill_values(d["products"], PRODUCT_DEFAULTS).select("product_id", *PRODUCT_DEFAULTS)
 
 
-_SCORED = "o AS (SELECT order_id, review_score FROM c_orders LEFT JOIN c_reviews USING (order_id))"
+_SCORED = "o AS (SELECT order_id, review_score FROM c_orders LEFT JOIN c_some_reviews USING (order_id))"
 
 
 @query(
@@ -64,7 +57,7 @@ _SCORED = "o AS (SELECT order_id, review_score FROM c_orders LEFT JOIN c_reviews
         SELECT order_id, CAST(coalesce(review_score, v) AS INTEGER) AS review_score FROM o, m""",
 )
 def b6(d: Data):
-    scored = d["orders"].select("order_id").join(d["order_reviews"].select("order_id", "review_score"), "order_id", "left")
+    scored = d["orders"].select("order_id").join(d["some_reviews"].select("order_id", "review_score"), "order_id", "left")
     return clean.impute_truncated_mean(scored, "review_score")
 
 

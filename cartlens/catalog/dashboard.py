@@ -204,14 +204,14 @@ def k18b(d: Data):
 
 @query(
     "k19_reviewed_percent",
-    """WITH m AS (SELECT count(*) AS n FROM (SELECT DISTINCT order_id FROM d_orders) o ANTI JOIN c_reviews USING (order_id)),
+    """WITH m AS (SELECT count(*) AS n FROM (SELECT DISTINCT order_id FROM d_orders) o ANTI JOIN c_some_reviews USING (order_id)),
        t AS (SELECT count(DISTINCT order_id) AS n FROM d_orders)
        SELECT t.n - m.n AS reviewed, m.n AS not_reviewed, round((t.n - m.n) * 100.0::DOUBLE / t.n, 2) AS reviewed_percent FROM m, t""",
 )
 def k19(d: Data):
     from cartlens.plans.wide import clean_orders
 
-    return kpis.reviewed_percent(clean_orders(d["orders"]), d["order_reviews"])
+    return kpis.reviewed_percent(clean_orders(d["orders"]), d["some_reviews"])
 
 
 def _lags(label: str, source: str, order: tuple[str, ...], key: str) -> str:
@@ -250,16 +250,16 @@ def k20b(d: Data):
 
 @query(
     "k21_score_shares",
-    """WITH last AS (SELECT DISTINCT ON (order_id) order_id, review_score FROM c_reviews SEMI JOIN d_orders USING (order_id)
+    """WITH last AS (SELECT DISTINCT ON (order_id) order_id, review_score FROM c_some_reviews SEMI JOIN d_orders USING (order_id)
                      ORDER BY order_id, review_creation_date DESC, review_id DESC),
        g AS (SELECT CAST(review_score AS VARCHAR) AS score, count(*) AS n FROM last GROUP BY 1
-             UNION ALL SELECT 'No review', count(*) FROM d_orders ANTI JOIN c_reviews USING (order_id))
+             UNION ALL SELECT 'No review', count(*) FROM d_orders ANTI JOIN c_some_reviews USING (order_id))
        SELECT score, n, round(100.0::DOUBLE * n / (SELECT sum(n) FROM g), 6) AS share FROM g""",
 )
 def k21(d: Data):
     from cartlens.plans.wide import clean_orders
 
-    return rounded(kpis.score_shares(clean_orders(d["orders"]), d["order_reviews"]), 6, "share")
+    return rounded(kpis.score_shares(clean_orders(d["orders"]), d["some_reviews"]), 6, "share")
 
 
 @query(
