@@ -40,6 +40,7 @@ def test_toxicity_query(spark, folder):
 def test_pipeline_equals_brute_force(spark, folder):
     import corpus_pipeline
 
+    folder = folder.replace("sf0.001", "sf0.01")  # the smallest tables have too few toxic labels to learn from
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash_dedup", "decontamination", "packing"]
     docs = spark.read.parquet(os.path.join(folder, "documents.parquet"))
     model = queries.toxicity_model(spark, docs, folder)
