@@ -1,11 +1,14 @@
 """Main text of web pages from parser events and text-to-tag ratios.
 
 The standard library's parser is fed piece by piece; its events make lines, one for each block of
-the page, with their text and their number of tags. Elements whose name, role, class or id says that
-they are not the article (menus, forms, adverts, comments and so on) are left out with all they
-contain. If the page marks its article, the lines inside are the content. Otherwise the ratios of
-text to tags per line are smoothed by a Gaussian, their two clusters give a threshold, and regions of
+the page, with their text and their number of tags. Elements whose name or role says that they are
+not the article (menus, footers and so on) are left out with all they contain. On every page the ratios
+of text to tags per line are smoothed by a Gaussian, their two clusters give a threshold, and regions of
 lines above it are the content.
+
+Elements marked by class, id or form as adverts, comments and so on are left out. Lines of an article
+are content unless they are below the threshold and nothing but links; regions around it are if they are
+running text.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +28,7 @@ from cartlens.llm.common import field_type, longs, picked, strings
 PIECE = 1 << 18
 SIGMA = 1.0
 GAP = 2  # lines below the threshold between two lines above it that still belong to the region
+RUNNING = 80  # characters that a region beside an article has at least
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -33,10 +39,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 ARTICLE = frozenset(("article", "main"))
 # elements that are never part of an article
 OUTSIDE = frozenset(
-    "aside button canvas datalist dialog fieldset footer form head header iframe input label map menu nav noscript object "
+    "aside button canvas datalist dialog fieldset footer head header iframe input label map menu nav noscript object "
     "script select style svg template textarea title video audio".split()
 )
-ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
+ROLES = frozenset("alert banner complementary contentinfo dialog menu menubar navigation search".split())
 # words of a class or id that mark what is not part of an article
 MARKS = frozenset(
     "ad ads adbox advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies "
@@ -44,6 +50,8 @@ MARKS = frozenset(
     "pagination popup promo promoted related replies reply respond search share sharing sidebar signup skip social sponsor "
     "sponsored subscribe toolbar widget".split()
 )
+# parts of a line, which hold no blocks; marked ones are left out for good
+PHRASES = frozenset("a abbr b cite code em font i kbd mark q s samp small span strong sub sup time tt u var".split())
 # these end an open paragraph, as the start of any block does
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LIMITS = frozenset(("ul", "ol", "dl", "table", "menu", "select", "article", "main", "section", "div", "body", "nav", "aside"))
@@ -57,39 +65,67 @@ def is_outside(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
     for name, value in attributes:
         if name == "role" and value and value.strip().lower() in ROLES:
             return True
-        if name in ("class", "id") and value:
-            if any(w in MARKS for w in re.split(r"[^a-z]+", value.lower())):
-                return True
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
+    return tag in PHRASES and is_marked(tag, attributes)
+
+
+def is_marked(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
+    if tag in ARTICLE or tag in ("html", "body"):
+        return False
+    if tag == "form":
+        return True
+    for name, value in attributes:
+        if name in ("class", "id") and value:
+            for token in value.lower().split():
+                words = re.split(r"[^a-z]+", token)
+                if any(w in MARKS for w in words):
+                    return True
+        if name == "role" and value and value.strip().lower() == "form":
+            return True
     return False
 
 
+class Line(NamedTuple):
+    text: str
+    tags: int
+    inside: bool  # of an article
+    linked: bool  # all of the text is in links
+    marks: tuple[int, ...]  # the marked elements around it
+
+
 class Lines(HTMLParser):
-    """Collects lines: (text, tags, inside the article)."""
+    """Collects lines."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool]] = []
-        self.open: list[tuple[str, bool]] = []  # tag, outside
+        self.lines: list[Line] = []
+        self.open: list[tuple[str, bool, bool]] = []  # tag, outside, marked
         self.outside = 0
         self.article = 0
-        self.has_article = False
+        self.marks: tuple[int, ...] = ()
+        self.n_marks = 0
+        self.links = 0
         self.parts: list[str] = []
+        self.plain = False  # the line has text outside of links
         self.tags = 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, max(self.tags, 1), self.article > 0))
+            self.lines.append(Line(text, max(self.tags, 1), self.article > 0, not self.plain, self.marks))
             self.tags = 0
         self.parts = []
+        self.plain = False
 
     def leave(self, keep: int) -> None:
         while len(self.open) > keep:
-            tag, outside = self.open.pop()
-            if tag in BLOCKS:
+            tag, outside, marked = self.open.pop()
+            if tag in BLOCKS or marked:
                 self.end_line()
+            if marked:
+                self.marks = self.marks[:-1]
+            self.links -= tag == "a"
             self.outside -= outside
             self.article -= tag in ARTICLE and not outside and not self.outside
 
@@ -113,10 +149,15 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         outside = is_outside(tag, attrs)
+        marked = not outside and not self.outside and is_marked(tag, attrs)
+        if marked:
+            self.end_line()
+            self.n_marks += 1
+            self.marks += (self.n_marks,)
         self.article += tag in ARTICLE and not outside and not self.outside
-        self.has_article |= self.article > 0
+        self.links += tag == "a"
         self.outside += outside
-        self.open.append((tag, outside))
+        self.open.append((tag, outside, marked))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -136,6 +177,7 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.outside:
             self.parts.append(data)
+            self.plain |= not self.links and not data.isspace()
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -163,19 +205,37 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def content_lines(lines: list[tuple[str, int, bool]]) -> list[str]:
-    """Lines of the regions with much text per tag."""
+def dense(lines: list[Line]) -> tuple[list[int], float]:
+    """Places of the lines in regions with much text per tag, and the threshold."""
     if not lines:
-        return []
-    values = smoothed(np.array([len(t) / n for t, n, _ in lines], dtype=float))
+        return [], 0.0
+    values = smoothed(np.array([len(x.text) / x.tags for x in lines], dtype=float))
     if values.max() <= 2 * values.min():  # one cluster
-        return [t for t, _, _ in lines]
-    good = np.flatnonzero(values >= threshold(values))
+        return list(range(len(lines))), 0.0
+    border = threshold(values)
+    good = np.flatnonzero(values >= border)
     kept = set(good.tolist())
     for a, b in zip(good, good[1:]):
         if b - a - 1 <= GAP:
             kept.update(range(int(a), int(b)))
-    return [lines[k][0] for k in sorted(kept)]
+    return sorted(kept), border
+
+
+def content_lines(lines: list[Line]) -> list[str]:
+    """Lines of the regions with much text per tag, in the light of articles and marks."""
+    lines = [x for x in lines if not x.marks]
+    good, border = dense(lines)
+    if not any(x.inside for x in lines):
+        return [lines[k].text for k in good]
+    chosen = set(good)
+    kept = {k for k, x in enumerate(lines) if x.inside and (k in chosen or not x.linked)}
+    # beside the article: runs of running text, dense by themselves and not by their neighbours only
+    for _, run in groupby(enumerate(k for k in good if not lines[k].inside), lambda p: p[1] - p[0]):
+        places = [k for _, k in run]
+        rich = any(len(lines[k].text) >= border * lines[k].tags for k in places)
+        if rich and sum(len(lines[k].text) for k in places) >= RUNNING:
+            kept.update(places)
+    return [lines[k].text for k in sorted(kept)]
 
 
 def main_text(html: str) -> str:
@@ -187,8 +247,6 @@ def main_text(html: str) -> str:
     parser.close()
     parser.leave(0)
     parser.end_line()
-    if parser.has_article:
-        return "\n".join(t for t, _, inside in parser.lines if inside)
     return "\n".join(content_lines(parser.lines))
 
 

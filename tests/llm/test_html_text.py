@@ -72,3 +72,28 @@ def test_every_page_against_a_plain_rule(spark, folder):
         article = re.search("<article>(.*?)</article>", r["html"], re.S)[1]
         blocks = re.split("</?(?:p|h1)>|<br>", re.sub("</?b>", "", article))
         assert r["text"] == "\n".join(b for b in (" ".join(html.unescape(x).split()) for x in blocks) if b)
+
+
+PROSE = [f"{'long running text of the page ' * 12}{k}" for k in range(6)]
+BODY = "".join(f"<p>{p}</p>" for p in PROSE)
+MENU = "".join(f"<li><a href='/{k}'>item {k}</a></li>" for k in range(12))
+
+
+def test_article_is_one_signal_beside_the_ratios():
+    # the page marks only a part of its content
+    part = f"<ul>{MENU}</ul><article><p>marked text of the page</p><p>short</p></article><div>{BODY}</div><ul>{MENU}</ul>"
+    assert html_text.main_text(part).split("\n") == ["marked text of the page", "short", *PROSE]
+    # and the article holds what is not content
+    more = f"<article><h1>T</h1>{BODY}<ul>{MENU}</ul></article>"
+    lines = html_text.main_text(more).split("\n")
+    assert lines[:7] == ["T", *PROSE] and len(lines) <= 9  # smoothing may keep the edge of the menu
+
+
+def test_ratios_are_taken_on_every_page(monkeypatch):
+    calls = []
+    real = html_text.smoothed
+    monkeypatch.setattr(html_text, "smoothed", lambda *a: calls.append(1) or real(*a))
+    for html, text in CASES.values():
+        calls.clear()
+        html_text.main_text(html)
+        assert bool(calls) == bool(text)
