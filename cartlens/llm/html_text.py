@@ -6,7 +6,8 @@ not the article (menus, footers and so on) are left out with all they contain. O
 of text to tags per line are smoothed by a Gaussian, their two clusters give a threshold, and regions of
 lines above it are the content.
 
-Elements marked by class, id or form as adverts, comments and so on are left out. Lines of an article
+What the page says about itself is weighed against the ratios. A class, id or form that marks an element as
+an advert, comments and so on is not believed if the element holds most of the content. Lines of an article
 are content unless they are below the threshold and nothing but links; regions around it are if they are
 running text.
 """
@@ -28,6 +29,7 @@ from cartlens.llm.common import field_type, longs, picked, strings
 PIECE = 1 << 18
 SIGMA = 1.0
 GAP = 2  # lines below the threshold between two lines above it that still belong to the region
+MOST = 0.5  # share of the content above which the marks of an element are not believed
 RUNNING = 80  # characters that a region beside an article has at least
 
 BLOCKS = frozenset(
@@ -43,13 +45,16 @@ OUTSIDE = frozenset(
     "script select style svg template textarea title video audio".split()
 )
 ROLES = frozenset("alert banner complementary contentinfo dialog menu menubar navigation search".split())
-# words of a class or id that mark what is not part of an article
+# words of a class or id that mark what is not part of an article, and words before them that say otherwise
 MARKS = frozenset(
     "ad ads adbox advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies "
     "consent disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager "
     "pagination popup promo promoted related replies reply respond search share sharing sidebar signup skip social sponsor "
     "sponsored subscribe toolbar widget".split()
 )
+UNMARKS = frozenset("has have no non with without".split())
+# all that a head may hold; anything else ends it
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 # parts of a line, which hold no blocks; marked ones are left out for good
 PHRASES = frozenset("a abbr b cite code em font i kbd mark q s samp small span strong sub sup time tt u var".split())
 # these end an open paragraph, as the start of any block does
@@ -79,7 +84,7 @@ def is_marked(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
         if name in ("class", "id") and value:
             for token in value.lower().split():
                 words = re.split(r"[^a-z]+", token)
-                if any(w in MARKS for w in words):
+                if any(w in MARKS and not UNMARKS.intersection(words[:k]) for k, w in enumerate(words)):
                     return True
         if name == "role" and value and value.strip().lower() == "form":
             return True
@@ -139,8 +144,17 @@ class Lines(HTMLParser):
             elif name in LIMITS or (name in BLOCKS and tag not in CLOSES):
                 return
 
+    def close_head(self, always: bool) -> None:
+        """Ends a head without an end tag; one of its elements that is still open keeps it open, unless the body begins."""
+        for k in range(len(self.open) - 1, -1, -1):
+            if self.open[k][0] == "head" and (always or k == len(self.open) - 1):
+                self.leave(k)
+                return
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
+        if tag not in HEAD:
+            self.close_head(tag == "body")
         if tag in BLOCKS:
             self.end_line()
             self.close_implied(tag)
@@ -175,6 +189,8 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self.close_head(False)
         if not self.outside:
             self.parts.append(data)
             self.plain |= not self.links and not data.isspace()
@@ -221,9 +237,31 @@ def dense(lines: list[Line]) -> tuple[list[int], float]:
     return sorted(kept), border
 
 
+def believed(lines: list[Line]) -> set[int]:
+    """Marks of elements that are not content: those that hold no more than a part of the article and of the dense text."""
+    marks = {m for x in lines for m in x.marks}
+    out: set[int] = set()
+    inside = [x for x in lines if x.inside]
+    if not marks:
+        return out
+
+    def shares(base: list[Line]) -> dict[int, float]:
+        held = dict.fromkeys(marks, 0)
+        for x in base:
+            for m in x.marks:
+                held[m] += len(x.text)
+        return {m: n / (sum(len(x.text) for x in base) or 1) for m, n in held.items()}
+
+    if inside:
+        out = {m for m, share in shares(inside).items() if share <= MOST}
+    rest = [lines[k] for k in dense(lines)[0] if not out.intersection(lines[k].marks)]
+    return out | {m for m, share in shares(rest).items() if share <= MOST}
+
+
 def content_lines(lines: list[Line]) -> list[str]:
     """Lines of the regions with much text per tag, in the light of articles and marks."""
-    lines = [x for x in lines if not x.marks]
+    no = believed(lines)
+    lines = [x for x in lines if not no.intersection(x.marks)]
     good, border = dense(lines)
     if not any(x.inside for x in lines):
         return [lines[k].text for k in good]

@@ -97,3 +97,23 @@ def test_ratios_are_taken_on_every_page(monkeypatch):
         calls.clear()
         html_text.main_text(html)
         assert bool(calls) == bool(text)
+
+
+def test_head_without_end_tag():
+    assert html_text.main_text("<html><head><title>T</title><body><article><p>text") == "text"
+    assert html_text.main_text("<html><head><meta charset=x><title>T</title><article><p>text") == "text"
+    assert html_text.main_text("<head><title>T</title><style>p{}</style>bare text") == "bare text"
+
+
+@pytest.mark.parametrize("open_", ["<div class='content has-sidebar'>", "<div class='no-comments'>", "<div id=with-header>",
+                                   "<div class='search-results'>", "<form action='/'>", "<form><div class='search-results'>"])
+@pytest.mark.parametrize("article", ["", "<article>"])
+def test_marks_do_not_take_most_of_a_page(open_, article):
+    html = f"<nav>{MENU}</nav>{open_}<div class=comments><p>first! and some more words</p></div>{article}{BODY}"
+    assert html_text.main_text(html).split("\n") == PROSE
+
+
+def test_marks_beside_an_article_hold_however_long():
+    html = f"<article><p>short article</p></article><section id=comments>{BODY}</section>"
+    assert html_text.main_text(html) == "short article"
+    assert html_text.main_text("<p>one <span class=share>Share</span> two</p>") == "one two"
