@@ -1,11 +1,15 @@
 """License scan: passages compared with license templates by the Dice coefficient over word bigrams.
 DataFrame functions only.
 
-A document's passages are its lines, sentences, blocks (between blank lines) and its whole text. Dice
-of two sets of sizes a and b is at most 2 min(a, b) / (a + b), so a passage is compared only with
-templates whose size lies within bounds of its own. Shared bigrams are counted by joining the
+A document's passages are its lines, sentences, blocks (between blank lines), its whole text and all runs of
+neighbouring pieces, which are parted by ends of lines or sentences. Dice of two sets of sizes a and b is at most
+2 min(a, b) / (a + b), so a passage is compared only with templates whose size lies within bounds of its own. Shared bigrams are counted by joining the
 passages' bigrams with the broadcast bigrams of the templates, which the size condition prunes
 in the join; only counts of matching passages are shuffled.
+
+Runs are made only where one can match: in documents that have, all in all, as many of a template's bigrams
+as a match needs. Of those, a run that begins and ends with pieces that add a bigram of the template
+is at least as similar as the same run with more pieces around it, so only such runs are compared.
 """
 
 from __future__ import annotations
@@ -21,8 +25,46 @@ from cartlens.session import materialize
 SIMILARITY = 0.8
 BROADCAST_BIGRAMS = 1_000_000
 NORMAL_WORD = "[a-z0-9]+"
+PIECE_END = r"(?<=[.!?])\s+|\r?\n"
+# of the words w of pieces: the piece of every word, and the bigrams in their order
+PLACES = "flatten(transform(pieces, (p, k) -> array_repeat(k, size(p))))"
+ORDERED = (
+    "case when size(w) > 1 then transform(sequence(0, size(w) - 2), i -> xxhash64(w[i], w[i + 1])) "
+    "else cast(array() as array<bigint>) end"
+)
 
 # Public notices and license texts, as published.
+_BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF "
+    "USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED "
+    "OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution."
+)
+_BSD_NAMES = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission."
+)
+
+
+def _gnu_notice(kind: str, version: str) -> str:
+    return (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        f"{kind} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any "
+        "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+        f"the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} for more details."
+    )
+
+
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 (notice)": (
@@ -51,13 +93,43 @@ TEMPLATES = {
         'PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES '
         "OF MERCHANTABILITY AND FITNESS."
     ),
-    "BSD-2-Clause (conditions)": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
-        "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
-        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
-        "distribution."
+    "ISC (full text)": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        'PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES '
+        "OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+        "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF "
+        "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "BSD-2-Clause (conditions)": _BSD_CONDITIONS,
+    "BSD-2-Clause (text)": f"{_BSD_CONDITIONS} {_BSD_DISCLAIMER}",
+    "BSD-3-Clause (conditions)": f"{_BSD_CONDITIONS} {_BSD_NAMES}",
+    "BSD-3-Clause (text)": f"{_BSD_CONDITIONS} {_BSD_NAMES} {_BSD_DISCLAIMER}",
+    "Zlib (text)": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+        "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any "
+        "purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following "
+        "restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original "
+        "software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but "
+        "is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the "
+        "original software. 3. This notice may not be removed or altered from any source distribution."
+    ),
+    "Unlicense (text)": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+        "commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of "
+        "this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for "
+        "the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an "
+        "overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE "
+        'SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE "
+        "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT "
+        "OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
     ),
+    "GPL-3.0-or-later (whole notice)": _gnu_notice("General Public License", "3"),
+    "GPL-2.0-or-later (whole notice)": _gnu_notice("General Public License", "2"),
+    "LGPL-3.0-or-later (whole notice)": _gnu_notice("Lesser General Public License", "3"),
+    "AGPL-3.0-or-later (whole notice)": _gnu_notice("Affero General Public License", "3"),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
     "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
@@ -110,6 +182,46 @@ def passages(text: Column) -> Column:
     return F.array_distinct(F.concat(*parts))
 
 
+def run_matches(rows: DataFrame, grams: DataFrame, similarity: float) -> DataFrame:
+    """doc_id, text_hash, license, dice of runs at least so similar to a template of two words or more.
+
+    rows: doc_id, text_hash, text. Map-only: every document meets one broadcast row with the templates.
+    """
+    factor = similarity / (2 - similarity)
+    table = grams.groupBy("license", "size").agg(F.collect_set("bigram").alias("t"))
+    table = table.agg(F.collect_list(F.struct("license", "size", "t")).alias("templates"))
+    table = table.crossJoin(grams.agg(F.collect_set("bigram").alias("every")))
+
+    def made(df: DataFrame, name: str, value: Column, *keep: str) -> DataFrame:
+        # an explode of one value, as expressions are not merged across it: it is made once
+        return df.select(*keep, F.explode(F.array(value)).alias(name))
+
+    key = ("doc_id", "text_hash")
+    rows = made(rows.filter(F.length("text") > 2), "w", normal_words(F.col("text")), *key, "text")
+    rows = made(rows, "b", F.expr(ORDERED), *key, "text").crossJoin(F.broadcast(table))
+    rows = made(rows, "met", F.array_intersect("b", "every"), *key, "text", "b", "templates").filter(F.size("met") > 0)
+    near = F.filter("templates", lambda t: F.size(F.array_intersect(F.col("met"), t["t"])) >= t["size"] * F.lit(factor))
+    rows = made(rows, "near", near, *key, "text", "b", "met").filter(F.size("near") > 0)
+    pieces = F.filter(F.transform(F.split("text", PIECE_END), normal_words), lambda p: F.size(p) > 0)
+    rows = made(rows, "pieces", pieces, *key, "b", "met", "near").filter(F.size("pieces") > 1)
+    rows = made(rows, "at", F.expr(PLACES), *key, "b", "met", "near", "pieces")
+    # where the templates' bigrams are: the pieces of both words
+    spots = F.expr("filter(transform(b, (x, k) -> struct(at[k] as a, at[k + 1] as z, x as b)), h -> array_contains(met, h.b))")
+    rows = made(rows, "spots", spots, *key, "near", "pieces").select(*key, "pieces", "spots", F.explode("near").alias("near"))
+    rows = made(rows, "hits", F.expr("filter(spots, h -> array_contains(near.t, h.b))"), *key, "pieces", "near")
+    rows = rows.select("*", F.explode(F.expr("array_distinct(hits.a)")).alias("first"))
+    rows = made(rows, "later", F.expr("filter(hits, h -> h.a >= first)"), *key, "pieces", "near", "first")
+    # a run ends with a piece where a bigram occurs for the first time since its begin
+    ends = F.expr("array_distinct(transform(array_distinct(later.b), x -> later.z[cast(array_position(later.b, x) as int) - 1]))")
+    rows = rows.select(*key, "pieces", "near", "first", F.explode(ends).alias("last"))
+    rows = made(rows, "w", F.expr("flatten(slice(pieces, first + 1, last - first + 1))"), *key, "near")
+    rows = made(rows, "b", _bigrams("w"), *key, "near")
+    n, size = F.size("b"), F.col("near.size")
+    rows = rows.filter((size >= n * F.lit(factor)) & (size * F.lit(factor) <= n))
+    dice = F.round(2 * F.size(F.array_intersect("b", "near.t")) / (n + size), 6)
+    return rows.select(*key, "near.license", dice.alias("dice")).filter(F.col("dice") >= similarity)
+
+
 def matches(
     docs: DataFrame,
     texts: Mapping[str, str] | None = None,
@@ -117,7 +229,7 @@ def matches(
     text: str = "text",
     similarity: float = SIMILARITY,
 ) -> DataFrame:
-    """doc_id, text_hash, passage, license, dice for every passage and template at least so similar."""
+    """doc_id, text_hash, passage, license, dice for every passage and template at least so similar; runs have no number."""
     grams = template_bigrams(docs.sparkSession, texts or templates())
     bounds = grams.agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("low"), F.max("size").alias("high")).first()
     if bounds["n"] > BROADCAST_BIGRAMS:
@@ -141,7 +253,10 @@ def matches(
     shared = met.groupBy("doc_id", "text_hash", "number", "license", "n", "size").agg(F.count_distinct("bigram").alias("shared"))
     dice = 2 * F.col("shared") / (F.col("n") + F.col("size"))
     found = shared.withColumn("dice", F.round(dice, 6)).filter(F.col("dice") >= similarity)
-    return found.select("doc_id", "text_hash", F.col("number").alias("passage"), "license", "dice")
+    found = found.select("doc_id", "text_hash", F.col("number").alias("passage"), "license", "dice")
+    whole = picked(docs, doc_id=doc_id, text=text).select("doc_id", F.xxhash64("text").alias("text_hash"), whole_text().alias("text"))
+    runs = run_matches(whole, grams, similarity)
+    return found.unionByName(runs.withColumn("passage", F.lit(None).cast("int")))
 
 
 def scan(
