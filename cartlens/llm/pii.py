@@ -69,8 +69,9 @@ PATTERNS = {
     "id": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "name": rf"{_START}(?:{_TITLE} (?:{CAPITALISED} ){{0,2}}{CAPITALISED}|{_GIVEN} {CAPITALISED}(?![\p{{L}}]))",
 }
-# What every entity has: a digit or an at sign, a word before a secret, or a form of address or a given name.
-MAYBE = rf"[0-9@]|\b(?:password|passwd|pwd|secret|token|api_key|apikey)[=:]|{_START}(?:{_TITLE}|{_GIVEN}) "
+# What every entity has: a digit or an at sign, the begin of a key, forty hex letters, a word before a secret, or a form of
+# address or a given name.
+MAYBE = rf"[0-9@]|AKIA|gh[pousr]_|sk-|[a-f]{{40}}|\b(?:password|passwd|pwd|secret|token|api_key|apikey)[=:]|{_START}(?:{_TITLE}|{_GIVEN}) "
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 ROUNDS = 12
 
