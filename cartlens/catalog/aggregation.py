@@ -109,7 +109,7 @@ def e19(d: Data):
 
 def _live(minutes: int) -> str:
     return f"""SELECT created_date, salesordernumber, count(*) AS num_transactions, count(DISTINCT salesordernumber) AS num_orders,
-        CAST(trunc(sum(CAST(salesamount AS DECIMAL(18,2)))) AS INTEGER) AS sales FROM c_sales
+        CAST(trunc(round(sum(CAST(salesamount AS DECIMAL(38,10))), 2)) AS INTEGER) AS sales FROM c_sales
         WHERE created_date >= (SELECT max(created_date) FROM c_sales) - INTERVAL {minutes} MINUTE GROUP BY ALL"""
 
 
@@ -121,6 +121,30 @@ def e20(d: Data):
     return text(kpis.live_sales(d["live_sales"], 10_000), "created_date")
 
 
+@query(
+    "e20_live_net_sales",
+    """SELECT strftime(created_date, '%Y-%m-%d %H:%M:%S') AS created_date, salesordernumber, count(*) AS num_transactions,
+        count(DISTINCT salesordernumber) AS num_orders,
+        CAST(trunc(round(sum(CAST(salesamount * 0.9375 AS DECIMAL(38,10))), 2)) AS INTEGER) AS sales FROM c_sales
+        WHERE created_date >= (SELECT max(created_date) FROM c_sales) - INTERVAL 10000 MINUTE GROUP BY created_date, salesordernumber""",
+)
+def e20_net(d: Data):
+    """Amounts after a fee of a sixteenth, which have parts of a cent."""
+    net = d["live_sales"].withColumn("salesamount", F.col("salesamount") * 0.9375)
+    return text(kpis.live_sales(net, 10_000), "created_date")
+
+
+@query(
+    "e4_discounts_by_supplier",
+    f"""SELECT CAST(l_suppkey AS BIGINT) AS l_suppkey,
+        {money("CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(l_discount AS DECIMAL(9,4))")} AS discounts FROM lineitem GROUP BY l_suppkey""",
+)
+def e4_discounts(d: Data):
+    """Sums of amounts below a cent, which must not be rounded before they are added."""
+    given = F.col("l_extendedprice").cast("decimal(18,4)") * F.col("l_discount").cast("decimal(9,4)")
+    return d.raw("lineitem").groupBy(F.col("l_suppkey").cast("bigint").alias("l_suppkey")).agg(agg.money_sum(given).alias("discounts"))
+
+
 @query(
     "e20_live_totals",
     " UNION ALL ".join(

@@ -10,7 +10,8 @@ def days(later: str, earlier: str) -> str:
 
 
 def money(column: str) -> str:
-    return f"CAST(coalesce(sum(CAST({column} AS DECIMAL(18,2))), 0) AS DOUBLE)"
+    """Exact sum; by way of text, as the direct cast of so wide a decimal is off in the last digit."""
+    return f"CAST(CAST(coalesce(sum(CAST({column} AS DECIMAL(38,10))), 0) AS VARCHAR) AS DOUBLE)"
 
 
 def stamp(column: str) -> str:

@@ -253,14 +253,14 @@ def late_percent(rows: DataFrame) -> DataFrame:
 
 
 def live_sales(sales: DataFrame, minutes: int) -> DataFrame:
-    """Transactions, orders and rounded sales per timestamp and order in the last minutes
-    before the newest sale."""
+    """Transactions, orders and sales per timestamp and order in the last minutes before the newest
+    sale. Sales are rounded to cents, then cut to whole units."""
     newest = sales.agg(F.max("created_date")).scalar()
     recent = sales.filter(F.col("created_date") >= newest - F.make_dt_interval(mins=F.lit(minutes)))
     return recent.groupBy("created_date", "salesordernumber").agg(
         F.count(F.lit(1)).alias("num_transactions"),
         F.count_distinct("salesordernumber").alias("num_orders"),
-        agg.money_sum("salesamount").cast("int").alias("sales"),
+        F.round(agg.money_sum("salesamount"), 2).cast("int").alias("sales"),
     )
 
 
