@@ -10,8 +10,8 @@ def days(later: str, earlier: str) -> str:
 
 
 def money(column: str) -> str:
-    """Exact sum; by way of text, as the direct cast of so wide a decimal is off in the last digit."""
-    return f"CAST(CAST(coalesce(sum(CAST({column} AS DECIMAL(38,10))), 0) AS VARCHAR) AS DOUBLE)"
+    """Exact sum. Doubles pass through text, as the direct casts from and to so wide a decimal are off in the last digit."""
+    return f"CAST(CAST(coalesce(sum(CAST(CAST({column} AS VARCHAR) AS DECIMAL(38,10))), 0) AS VARCHAR) AS DOUBLE)"
 
 
 def stamp(column: str) -> str:
