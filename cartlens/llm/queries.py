@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartlens.llm import (
-    binary_ids, decontaminate, exact_dedup, html_text, langid, licenses, packing, pii, simhash, toxicity,
+    alignment, binary_ids, byte_bpe, decontaminate, exact_dedup, html_text, langid, licenses, packing, pii, simhash, spectrum,
+    toxicity,
 )
 from cartlens.llm.common import prepare
 from cartlens.llm.tokens import vocabulary_path
@@ -82,6 +83,25 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(_table(spark, folder, "pages"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    whitened = spectrum.whiten(_table(spark, folder, "embeddings"))
+    return whitened.select(
+        "vec_id", "component", "n", F.col("deviation").cast("bigint").alias("deviation"), "whitened", "explained", "identity_error"
+    )
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_documents(
+        _table(spark, folder, "documents"), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model")
+    )
+
+
+def op13_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = vocabulary_path("byte_bpe_multi_50k.tiktoken")
+    back = byte_bpe.decode(byte_bpe.encode(_table(spark, folder, "documents"), ranks), ranks)
+    return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -136,6 +156,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
     "op10_main_text": op10_main_text,
+    "op11_whitening": op11_whitening,
+    "op12_alignment": op12_alignment,
+    "op13_prefix_bpe": op13_prefix_bpe,
     "pipeline": pipeline,
 }
 
