@@ -1,7 +1,8 @@
 """Byte-level BPE by prefix dynamic programming: encoding, decoding, appends and edits.
 
-A sequence of tokens is the BPE encoding of its bytes exactly if every two neighbours are the
-encoding of their own bytes. So each prefix of a piece has one valid last token: the one token
+Where every token's parts have lower ranks than the token, merging goes up the ranks, and a sequence
+of tokens is the BPE encoding of its bytes exactly if every two neighbours are the encoding of their
+own bytes. (Vocabularies whose ranks are no such order are refused.) So each prefix of a piece has one valid last token: the one token
 that ends there, fits behind the last token of the prefix before it, and goes on. `Prefixes`
 stores it for every prefix. Appending only adds entries, and after an edit the entries are the
 old ones again as soon as they agree over the longest token's length.
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import array
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,9 +29,10 @@ from pyspark.sql.types import BinaryType, DataType, LongType, StructField, Struc
 from cartlens.llm.common import field_type, fresh, longs, picked, strings
 from cartlens.llm.tokens import pack_ids
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 600_000
 CACHED_CHARS = 64
 PAIRS = 1 << 18
+NEVER = 1 << 62
 # The last characters a match of the pattern can depend on beyond its own end.
 LOOKAHEAD = 2
 
@@ -52,19 +54,30 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        # a token that merging never makes is only used for a piece that is just this token
-        self.whole_only = {token: rank for token, rank in ranks.items() if self.merge(token) != [rank]}
+        # the two tokens whose merge makes a token; one that merging never makes is only used for a piece that is just it
+        self.halves: dict[int, list[int]] = {}
+        self.whole_only: dict[bytes, int] = {}
+        for token, rank in ranks.items():
+            parts = self.merge(token, stop=2)
+            if len(parts) == 2:
+                self.halves[rank] = parts
+                if any(p >= rank and len(self.bytes_of[p]) > 1 for p in parts):
+                    raise ValueError("a token has a part of higher rank: the ranks are not an order of merges")
+            elif len(parts) > 2:
+                self.whole_only[token] = rank
         self.matches = ahocorasick.Automaton()
         for token, rank in ranks.items():
             if token not in self.whole_only:
                 self.matches.add_word(token.decode("latin-1"), (len(token), rank))
         self.matches.make_automaton()
         self.fits = lru_cache(PAIRS)(self._fits)
+        self.edge = lru_cache(None)(self._edge)
 
-    def merge(self, data: bytes) -> list[int]:
-        """Encoding by its definition: merge the pair of lowest rank, the leftmost first. For short inputs."""
+    def merge(self, data: bytes, stop: int = 1) -> list[int]:
+        """Encoding by its definition: merge the pair of lowest rank, the leftmost first, until `stop` parts are
+        left. For short inputs."""
         parts = [data[k : k + 1] for k in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > stop:
             found = [(r, k) for k in range(len(parts) - 1) if (r := self.ranks.get(parts[k] + parts[k + 1])) is not None]
             if not found:
                 break
@@ -72,8 +85,32 @@ class Vocabulary:
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return [self.ranks[p] for p in parts]
 
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """What stands at one edge of a token while it is merged, from the byte on, each with the rank of the
+        merge that ends it."""
+        out, end = [], NEVER
+        while True:
+            out.append((token, end))
+            if token not in self.halves:
+                return out[::-1]
+            token, end = self.halves[token][side], token
+
     def _fits(self, left: int, right: int) -> bool:
-        return self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+        """Whether merging the bytes of both gives the two back: no merge across the border may come before
+        the merges that take its two parts away, where of equal ranks the one further left comes first."""
+        a, b = self.edge(left, 1), self.edge(right, 0)
+        i = j = 0
+        while True:
+            (u, u_end), (v, v_end) = a[i], b[j]
+            across = self.ranks.get(self.bytes_of[u] + self.bytes_of[v])
+            if across is not None and across < u_end and across <= v_end:
+                return False
+            if u_end <= v_end:
+                if u_end == NEVER:
+                    return True
+                i += 1
+            else:
+                j += 1
 
 
 class Prefixes:
@@ -89,11 +126,11 @@ class Prefixes:
         self.computed = 0
         self.append(data)
 
-    def _entries(self, data: bytes, start: int) -> Iterator[int]:
-        """Add the entries after the first `start` bytes, one at a time."""
+    def _fill(self, start: int, settled: Callable[[int], bool] | None = None) -> None:
+        """Add the entries after the first `start` bytes, until all are there or settled(entry's place)."""
         last, fits, known = self.last, self.vocabulary.fits, start
         before = max(0, start - self.vocabulary.longest + 1)
-        for end, (size, token) in self.vocabulary.matches.iter(data[before:].decode("latin-1")):
+        for end, (size, token) in self.vocabulary.matches.iter(self.data[before:].decode("latin-1")):
             at = before + end + 1
             # a match for a prefix that has its token already; or one that starts left of the data looked at
             if at <= known or at - size < before:
@@ -101,25 +138,28 @@ class Prefixes:
             if at == size or fits(last[at - size], token):
                 last.append(token)
                 known = at
-                self.computed += 1
-                yield at
+                if settled is not None and settled(at):
+                    break
+        self.computed += known - start
 
     def append(self, more: bytes) -> None:
         start, self.data = len(self.data), self.data + more
-        for _ in self._entries(self.data, start):
-            pass
+        self._fill(start)
 
     def replace(self, start: int, stop: int, new: bytes) -> None:
         """Put new in place of bytes [start, stop); entries before start stay, later ones are reused
         once they agree with the old ones over the length of the longest token."""
-        old, shift, behind = self.last, len(new) - (stop - start), start + len(new)
+        old, shift, behind, agreed = self.last, len(new) - (stop - start), start + len(new), 0
         self.data = self.data[:start] + new + self.data[stop:]
-        self.last, agreed = old[: start + 1], 0
-        for at in self._entries(self.data, start):
+        self.last = old[: start + 1]
+
+        def settled(at: int) -> bool:
+            nonlocal agreed
             agreed = agreed + 1 if at >= behind and self.last[at] == old[at - shift] else 0
-            if agreed >= self.vocabulary.longest:
-                self.last += old[at - shift + 1 :]
-                break
+            return agreed >= self.vocabulary.longest
+
+        self._fill(start, settled)
+        self.last += old[len(self.last) - shift :]
 
     def ids(self) -> list[int]:
         at, out, size = len(self.data), [], self.vocabulary.bytes_of

@@ -134,3 +134,42 @@ def test_edits_and_appends(spark, encoder):
     long = "one two three four " * 5000
     _, ids, work = encoder.edit(long, encoder.encode(long), 40_000, 40_003, "XYZ")
     assert ids == encoder.encode(long[:40_000] + "XYZ" + long[40_003:]) and work < 60
+
+
+def test_which_tokens_may_follow(encoder):
+    """The walk along both edges says the same as merging the two tokens' bytes, for random and for cut tokens."""
+    v, r = encoder.vocabulary, random.Random(13)
+    tokens = sorted(v.bytes_of)
+    for k in range(20_000):
+        left, right = r.choice(tokens), r.choice(tokens)
+        if k % 2:  # tokens of one word
+            data = v.bytes_of[left] + v.bytes_of[right][:3]
+            cut = r.randint(1, len(data) - 1)
+            left, right = v.merge(data[:cut])[-1], v.merge(data[cut:])[0]
+        assert v.fits(left, right) == (v.merge(v.bytes_of[left] + v.bytes_of[right]) == [left, right])
+
+
+def test_ranks_out_of_order():
+    single = {bytes([b]): b for b in range(256)}
+    byte_bpe.Vocabulary(single | {b"ab": 256, b"bc": 257, b"abc": 258})
+    with pytest.raises(ValueError, match="order"):
+        byte_bpe.Vocabulary(single | {b"abc": 256, b"ab": 257})
+
+
+def test_small_vocabularies():
+    """Every string of random merge orders over three letters, against merging."""
+    r = random.Random(17)
+    for _ in range(25):
+        made = [b"a", b"b", b"c"]
+        while len(made) < 16:
+            new = r.choice(made) + r.choice(made)
+            if new not in made and len(new) <= 6:
+                made.append(new)
+        try:
+            v = byte_bpe.Vocabulary({bytes([b]): b for b in range(256)} | {t: 256 + k for k, t in enumerate(made[3:])})
+        except ValueError:
+            continue
+        for _ in range(300):
+            data = bytes(r.choice(b"abc") for _ in range(r.randint(1, 14)))
+            if data not in v.whole_only:
+                assert byte_bpe.Prefixes(v, data).ids() == v.merge(data)
