@@ -15,10 +15,12 @@ are joined. Both ways are taken at every size.
 
 from __future__ import annotations
 
+import array
 import hashlib
 import os
 import re
-from collections.abc import Callable, Iterator, Sequence
+import sys
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import accumulate
 
 import numpy as np
@@ -95,8 +97,8 @@ class ByteLevel:
         self.bytes_of = {k: bytes(letters[c] for c in token) for token, k in vocabulary.items() if letters.keys() >= set(token)}
         self.size = 1 + max(self.tokenizer.get_vocab().values())
 
-    def encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(" " + text, add_special_tokens=False).ids
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
 class Pieces:
@@ -112,57 +114,77 @@ class Pieces:
             k: bytes([int(name[3:5], 16)]) if model.is_byte(k) else name.replace("▁", " ").encode() for k, name in enumerate(names)
         }
         self.joins_over_space = any("▁" in name.lstrip("▁") for name in names)
-        self.encode = lambda text: model.encode(text, num_threads=1)
+        self.encode = lambda texts: model.encode(texts, num_threads=1)
 
 
-class Part(tuple):
-    """What one part adds: n_a, n_b, n_groups, n_links, groups as text, links as packed pairs."""
+# What one part adds: n_a, n_b, n_groups, n_links, groups as text, links as packed pairs.
+Part = tuple[int, int, int, int, str, bytes]
 
 
-class Aligner(dict):
-    """Aligned parts; None for one whose tokens do not spell its bytes. The mapping is the cache.
+class Aligner:
+    """Aligns texts, part by part where that is the same as whole. Parts that were met are kept; one whose tokens
+    do not spell its bytes is kept as None.
 
     Every pair of ids is numbered a * (ids of B) + b.
     """
 
     def __init__(self, a_path: str, b_path: str):
-        super().__init__()
         self.a, self.b = ByteLevel(a_path), Pieces(b_path)
         self.kind = pair_type(self.a.size, self.b.size)
+        self.met: dict[str, Part | None] = {}
+        self.long: list[str] = []
         self.by_part = not self.b.joins_over_space and all(
-            ids(p) == [k for part in CUT.split(p) for k in ids(part)] for ids in (self.a.encode, self.b.encode) for p in PROBES
+            encode([p])[0] == [k for ids in encode(CUT.split(p)) for k in ids] for encode in (self.a.encode, self.b.encode) for p in PROBES
         )
 
-    def tokens(self, text: str) -> tuple[list[int], list[int], list[int], list[int]] | None:
+    def _spelled(self, text: str, a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int], list[int]] | None:
         """Ids and sizes of both sides, or None if either does not spell a space and the text."""
         whole = (" " + text).encode()
-        a, b = self.a.encode(text), self.b.encode(text)
         a_bytes, b_bytes = [self.a.bytes_of.get(k, b"") for k in a], [self.b.bytes_of[k] for k in b]
         if not text or b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
             return None
         return a, b, list(map(len, a_bytes)), list(map(len, b_bytes))
 
-    def __missing__(self, part: str) -> Part | None:
-        got, found = self.tokens(part), None
-        if got:
-            a, b, a_sizes, b_sizes = got
-            groups = split_groups(a_sizes, b_sizes)
-            links = [(a[i], b[j]) for g in groups for i, j in expand_links(a_sizes, b_sizes, g)]
-            text = ";".join(f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}" for i, j, k, m in groups)
-            pairs = np.array([i * self.b.size + j for i, j in links], dtype=self.kind)
-            found = Part((len(a), len(b), len(groups), len(links), text, pairs.tobytes()))
-        if len(part) <= CACHED_CHARS:
-            if len(self) >= CACHE_PARTS:
-                self.clear()
-            self[part] = found
-        return found
+    def tokens(self, text: str) -> tuple[list[int], list[int], list[int], list[int]] | None:
+        return self._spelled(text, self.a.encode([text])[0], self.b.encode([text])[0])
+
+    def _aligned(self, text: str, a: list[int], b: list[int]) -> Part | None:
+        got = self._spelled(text, a, b)
+        if got is None:
+            return None
+        _, _, a_sizes, b_sizes = got
+        groups = split_groups(a_sizes, b_sizes)
+        links = [(a[i], b[j]) for g in groups for i, j in expand_links(a_sizes, b_sizes, g)]
+        digest = ";".join([f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}" for i, j, k, m in groups])
+        size = self.b.size
+        pairs = array.array("I" if self.kind == "<u4" else "q", [i * size + j for i, j in links])
+        if sys.byteorder == "big":
+            pairs.byteswap()
+        return len(a), len(b), len(groups), len(links), digest, pairs.tobytes()
 
     def parts(self, text: str) -> list[str]:
         return (CUT.split(text) if self.by_part else [text]) if text else []
 
-    def align(self, text: str) -> tuple[int, int, int, int, str, np.ndarray]:
+    def meet(self, parts: Iterable[str]) -> None:
+        """Align the parts that are not kept, in one call of each tokenizer."""
+        for p in self.long:
+            self.met.pop(p, None)
+        wanted = set(parts)
+        new = [p for p in wanted if p not in self.met]
+        if len(self.met) + len(new) > CACHE_PARTS:
+            self.met.clear()
+            new = list(wanted)
+        self.long = [p for p in new if len(p) > CACHED_CHARS]
+        if new:
+            for p, a, b in zip(new, self.a.encode(new), self.b.encode(new)):
+                self.met[p] = self._aligned(p, a, b)
+
+    def align(self, text: str, met: bool = False) -> tuple[int, int, int, int, str, np.ndarray]:
         """Counts, the digest of the groups, and the sorted pairs of all links; zeros without tokens."""
-        found = list(map(self.__getitem__, self.parts(text)))
+        parts = self.parts(text)
+        if not met:
+            self.meet(parts)
+        found = list(map(self.met.__getitem__, parts))
         if not found or None in found:
             return 0, 0, 0, 0, "", np.zeros(0, self.kind)
         n_a, n_b, groups, links, texts, pairs = zip(*found)
@@ -217,8 +239,10 @@ def _linked(docs: DataFrame, a_path: str, b_path: str, doc_id: str, text: str) -
         aligner, number = Aligner(a_path, b_path), TaskContext.get().partitionId() << 33
         for batch in batches:
             rows, packed, times = [], [], []
-            for t in strings(batch.column(1)):
-                *figures, links = aligner.align(t)
+            texts = strings(batch.column(1))
+            aligner.meet(p for t in texts for p in aligner.parts(t))
+            for t in texts:
+                *figures, links = aligner.align(t, met=True)
                 pairs, n = np.unique(links, return_counts=True)
                 rows.append(figures)
                 packed.append(pairs.tobytes())
