@@ -4,8 +4,9 @@ Both encode the space and the text. The ends of their tokens, counted in bytes,
 dictionary from end to index for each side; the sorted keys that both have cut the two id lists
 into groups, and inside a group every pair of tokens whose byte ranges overlap is a link.
 
-Parts between single spaces are cached with their groups and links, if the two tokenizers never
-join bytes across such a space (this is probed; otherwise texts are aligned whole).
+Texts are cut into parts at single spaces, and parts into units before closing punctuation and line
+ends, where neither tokenizer joins bytes (its vocabulary is searched and this is probed; otherwise texts
+are aligned whole). Parts and units are cached with their groups and links.
 
 For figures that need the whole corpus, each document's distinct links are written once. Their
 corpus-wide counts are summed by id pair. Pairs with at least total / FREQUENT_PAIRS links, which are at
@@ -29,15 +30,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import field_type, longs, picked, strings
+from cartlens.llm.common import field_type, longs, no_cycle_search, picked, strings
 from cartlens.session import materialize
 
 FREQUENT_PAIRS = 1 << 20
 FLUSH_LINKS = 1 << 21
-CACHE_PARTS = 500_000
+CACHE_PARTS = 400_000
 CACHED_CHARS = 64
 CUT = re.compile(r"(?<=\S) (?=\S)")
-PROBES = ("one two  three", "it's a 12 kg, (odd) -- thing.", "x \n y\n\n z \t", "é ß 漢 字 😀 a", "  lead and trail  ", "a ' b's ...")
+# Inside a part: between a Latin letter and closing punctuation, and before a line's end.
+LETTER, CLOSING = "A-Za-zÀ-ÖØ-öø-ɏ", ".,;:!?)"
+INNER_CUT = re.compile(rf"(?<=[{LETTER}])(?=[{CLOSING}])|(?<=\S)(?=\n)")
+JOINED = re.compile(rf"[{LETTER}][{CLOSING}]|\n|[^▁]▁")
+PROBES = ("one two  three", "end. Next, (so) he said: yes!\nLine.\n\nNew", "x.y,z)", "été.\nÉt", "it's a 12 kg, (odd) -- thing.", "x \n y\n\n z \t", "é ß 漢 字 😀 a", "  lead and trail  ", "a ' b's ...")
 
 
 # ------------------------------------------------------------------- one text
@@ -96,9 +101,22 @@ class ByteLevel:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes_of = {k: bytes(letters[c] for c in token) for token, k in vocabulary.items() if letters.keys() >= set(token)}
         self.size = 1 + max(self.tokenizer.get_vocab().values())
+        self.space = next(letter for letter, byte in letters.items() if byte == 0x20)
+        words = ["word", "Xyzzyqueousness"]
+        self.splits_words = False
+        self.splits_words = self.encode(words) == [[t.id for t in self.tokenizer.model.tokenize(self.space + w)] for w in words]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        """Ids of a space and each text. A plain word is one piece for the merges, which can be asked at once."""
+        merges, space = self.tokenizer.model.tokenize, self.space
+        others = [k for k, t in enumerate(texts) if not (self.splits_words and t.isalpha() and t.isascii())]
+        if len(others) == len(texts):
+            return self.encode_exactly([" " + t for t in texts])
+        rest = dict(zip(others, self.encode_exactly([" " + texts[k] for k in others])))
+        return [rest[k] if k in rest else [t.id for t in merges(space + text)] for k, text in enumerate(texts)]
+
+    def encode_exactly(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class Pieces:
@@ -113,8 +131,14 @@ class Pieces:
         self.bytes_of = {
             k: bytes([int(name[3:5], 16)]) if model.is_byte(k) else name.replace("▁", " ").encode() for k, name in enumerate(names)
         }
-        self.joins_over_space = any("▁" in name.lstrip("▁") for name in names)
+        self.joins_at_cuts = any(JOINED.search(name) for name in names)
         self.encode = lambda texts: model.encode(texts, num_threads=1)
+        self.line_start = self.encode(["\n"])[0]
+
+    def encode_exactly(self, texts: list[str]) -> list[list[int]]:
+        """Ids without the space that the model puts first: a line's end takes its place and is left out."""
+        skip = len(self.line_start)
+        return [ids[skip:] for ids in self.encode(["\n" + t for t in texts])]
 
 
 # What one part adds: n_a, n_b, n_groups, n_links, groups as text, links as packed pairs.
@@ -122,8 +146,8 @@ Part = tuple[int, int, int, int, str, bytes]
 
 
 class Aligner:
-    """Aligns texts, part by part where that is the same as whole. Parts that were met are kept; one whose tokens
-    do not spell its bytes is kept as None.
+    """Aligns texts, part by part where that is the same as whole. Parts and units that were met are kept; one
+    whose tokens do not spell its bytes is kept as None.
 
     Every pair of ids is numbered a * (ids of B) + b.
     """
@@ -131,59 +155,105 @@ class Aligner:
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = ByteLevel(a_path), Pieces(b_path)
         self.kind = pair_type(self.a.size, self.b.size)
+        self.code = "I" if self.kind == "<u4" else "q"
+        self.a_bytes, self.b_bytes = ([side.bytes_of.get(k, b"") for k in range(side.size)].__getitem__ for side in (self.a, self.b))
         self.met: dict[str, Part | None] = {}
-        self.long: list[str] = []
-        self.by_part = not self.b.joins_over_space and all(
-            encode([p])[0] == [k for ids in encode(CUT.split(p)) for k in ids] for encode in (self.a.encode, self.b.encode) for p in PROBES
+        self.heads: dict[str, Part | None] = {}
+        self.tails: dict[str, Part | None] = {}
+        self.long: list[tuple[dict, str]] = []
+        self.by_part = not self.b.joins_at_cuts and all(
+            side.encode([p])[0] == [k for part in CUT.split(p) for k in self._by_unit(side, part)] for side in (self.a, self.b) for p in PROBES
         )
 
-    def _spelled(self, text: str, a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int], list[int]] | None:
+    @staticmethod
+    def _by_unit(side: ByteLevel | Pieces, part: str) -> list[int]:
+        head, *tails = INNER_CUT.split(part)
+        return [k for ids in (*side.encode([head]), *side.encode_exactly(tails)) for k in ids]
+
+    def tokens(self, text: str) -> tuple[list[int], list[int], list[int], list[int]] | None:
         """Ids and sizes of both sides, or None if either does not spell a space and the text."""
-        whole = (" " + text).encode()
+        a, b = self.a.encode([text])[0], self.b.encode([text])[0]
         a_bytes, b_bytes = [self.a.bytes_of.get(k, b"") for k in a], [self.b.bytes_of[k] for k in b]
+        whole = (" " + text).encode()
         if not text or b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
             return None
         return a, b, list(map(len, a_bytes)), list(map(len, b_bytes))
 
-    def tokens(self, text: str) -> tuple[list[int], list[int], list[int], list[int]] | None:
-        return self._spelled(text, self.a.encode([text])[0], self.b.encode([text])[0])
-
-    def _aligned(self, text: str, a: list[int], b: list[int]) -> Part | None:
-        got = self._spelled(text, a, b)
-        if got is None:
+    def _aligned(self, whole: str, a: list[int], b: list[int]) -> Part | None:
+        a_bytes, b_bytes = list(map(self.a_bytes, a)), list(map(self.b_bytes, b))
+        data = whole.encode()
+        if b"".join(a_bytes) != data or b"".join(b_bytes) != data:
             return None
-        _, _, a_sizes, b_sizes = got
-        groups = split_groups(a_sizes, b_sizes)
-        links = [(a[i], b[j]) for g in groups for i, j in expand_links(a_sizes, b_sizes, g)]
-        digest = ";".join([f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}" for i, j, k, m in groups])
         size = self.b.size
-        pairs = array.array("I" if self.kind == "<u4" else "q", [i * size + j for i, j in links])
+        if len(a) == 1 or len(b) == 1:
+            pairs = [i * size + j for i in a for j in b]
+            n, digest = 1, f"{','.join(map(str, a))}|{','.join(map(str, b))}"
+        else:
+            a_sizes, b_sizes = list(map(len, a_bytes)), list(map(len, b_bytes))
+            groups, pairs, texts = split_groups(a_sizes, b_sizes), [], []
+            for g in groups:
+                i, j, k, m = g
+                if j - i == m - k == 1:
+                    pairs.append(a[i] * size + b[k])
+                    texts.append(f"{a[i]}|{b[k]}")
+                else:
+                    pairs += [a[x] * size + b[y] for x, y in expand_links(a_sizes, b_sizes, g)]
+                    texts.append(f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}")
+            n, digest = len(groups), ";".join(texts)
+        packed = array.array(self.code, pairs)
         if sys.byteorder == "big":
-            pairs.byteswap()
-        return len(a), len(b), len(groups), len(links), digest, pairs.tobytes()
+            packed.byteswap()
+        return len(a), len(b), n, len(pairs), digest, packed.tobytes()
 
     def parts(self, text: str) -> list[str]:
         return (CUT.split(text) if self.by_part else [text]) if text else []
 
+    def _meet_units(self, kept: dict[str, Part | None], units: set[str], before: str) -> None:
+        """Align the units that are not kept, in one call of each tokenizer."""
+        new = [u for u in units if u not in kept]
+        self.long += [(kept, u) for u in new if len(u) > CACHED_CHARS]
+        sides = (self.a.encode(new), self.b.encode(new)) if before else (self.a.encode_exactly(new), self.b.encode_exactly(new))
+        for u, a, b in zip(new, *sides):
+            kept[u] = self._aligned(before + u, a, b)
+
     def meet(self, parts: Iterable[str]) -> None:
-        """Align the parts that are not kept, in one call of each tokenizer."""
-        for p in self.long:
-            self.met.pop(p, None)
+        """Align the parts that are not kept."""
+        for kept, p in self.long:
+            kept.pop(p, None)
         wanted = set(parts)
         new = [p for p in wanted if p not in self.met]
         if len(self.met) + len(new) > CACHE_PARTS:
             self.met.clear()
             new = list(wanted)
-        self.long = [p for p in new if len(p) > CACHED_CHARS]
-        if new:
-            for p, a, b in zip(new, self.a.encode(new), self.b.encode(new)):
-                self.met[p] = self._aligned(p, a, b)
-
-    def align(self, text: str, met: bool = False) -> tuple[int, int, int, int, str, np.ndarray]:
-        """Counts, the digest of the groups, and the sorted pairs of all links; zeros without tokens."""
-        parts = self.parts(text)
-        if not met:
-            self.meet(parts)
+        for kept in (self.heads, self.tails):
+            if len(kept) + len(new) > CACHE_PARTS:
+                kept.clear()
+        self.long = [(self.met, p) for p in new if len(p) > CACHED_CHARS]
+        units = [[p] if p.isalpha() or not self.by_part else INNER_CUT.split(p) for p in new]
+        self._meet_units(self.heads, {u[0] for u in units}, " ")
+        self._meet_units(self.tails, {t for u in units for t in u[1:]}, "")
+        heads, tails = self.heads, self.tails
+        for p, cut in zip(new, units):
+            if len(cut) == 1:
+                self.met[p] = heads[p]
+                continue
+            found = [heads[cut[0]], *map(tails.__getitem__, cut[1:])]
+            if None in found:
+                self.met[p] = None
+                continue
+            n_a, n_b, groups, links, texts, pairs = zip(*found)
+            self.met[p] = (sum(n_a), sum(n_b), sum(groups), sum(links), ";".join(texts), b"".join(pairs))
+
+    def align(self, text: str) -> tuple[int, int, int, int, str, np.ndarray]:
+        return next(self.align_all([text]))
+
+    def align_all(self, texts: Iterable[str]) -> Iterator[tuple[int, int, int, int, str, np.ndarray]]:
+        """For each text the counts, the digest of its groups, and the sorted pairs of its links; zeros without tokens."""
+        cut = list(map(self.parts, texts))
+        self.meet(p for parts in cut for p in parts)
+        return map(self._sums, cut)
+
+    def _sums(self, parts: list[str]) -> tuple[int, int, int, int, str, np.ndarray]:
         found = list(map(self.met.__getitem__, parts))
         if not found or None in found:
             return 0, 0, 0, 0, "", np.zeros(0, self.kind)
@@ -237,25 +307,23 @@ def _linked(docs: DataFrame, a_path: str, b_path: str, doc_id: str, text: str) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, number = Aligner(a_path, b_path), TaskContext.get().partitionId() << 33
-        for batch in batches:
-            rows, packed, times = [], [], []
-            texts = strings(batch.column(1))
-            aligner.meet(p for t in texts for p in aligner.parts(t))
-            for t in texts:
-                *figures, links = aligner.align(t, met=True)
-                pairs, n = np.unique(links, return_counts=True)
-                rows.append(figures)
-                packed.append(pairs.tobytes())
-                times.append(n.astype("<u4").tobytes())
-            *counts, digests = zip(*rows) if rows else ((),) * 5
-            yield pa.RecordBatch.from_arrays(
-                [
-                    longs(np.arange(number, number + len(rows))), batch.column(0), *map(longs, counts),
-                    pa.array(digests, pa.string()), pa.array(packed, pa.binary()), pa.array(times, pa.binary()),
-                ],
-                [f.split()[0] for f in schema.split(", ")],
-            )
-            number += len(rows)
+        with no_cycle_search():
+            for batch in batches:
+                rows, packed, times = [], [], []
+                for *figures, links in aligner.align_all(strings(batch.column(1))):
+                    pairs, n = np.unique(links, return_counts=True)
+                    rows.append(figures)
+                    packed.append(pairs.tobytes())
+                    times.append(n.astype("<u4").tobytes())
+                *counts, digests = zip(*rows) if rows else ((),) * 5
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        longs(np.arange(number, number + len(rows))), batch.column(0), *map(longs, counts),
+                        pa.array(digests, pa.string()), pa.array(packed, pa.binary()), pa.array(times, pa.binary()),
+                    ],
+                    [f.split()[0] for f in schema.split(", ")],
+                )
+                number += len(rows)
 
     return picked(docs, doc_id=doc_id, text=text).mapInArrow(run, schema)
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, DataType, LongType, StructField, StructType
 
-from cartlens.llm.common import field_type, fresh, longs, picked, strings
+from cartlens.llm.common import field_type, fresh, longs, no_cycle_search, picked, strings
 from cartlens.llm.tokens import pack_ids
 
 CACHE_PIECES = 600_000
@@ -322,11 +322,12 @@ def encode(docs: DataFrame, ranks: str, doc_id: str = "doc_id", text: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = make()
-        for batch in batches:
-            ids = [encoder.encode(t) for t in strings(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), longs([len(x) // 4 for x in ids]), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"]
-            )
+        with no_cycle_search():
+            for batch in batches:
+                ids = [encoder.encode(t) for t in strings(batch.column(1))]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), longs([len(x) // 4 for x in ids]), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"]
+                )
 
     schema = f"doc_id {field_type(docs, doc_id)}, n_tokens bigint, ids binary"
     return picked(docs, doc_id=doc_id, text=text).mapInArrow(run, schema)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import gc
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -47,3 +49,16 @@ def strings(column: pa.Array) -> list[str]:
 
 def longs(values: Iterable[int] | np.ndarray) -> pa.Array:
     return pa.array(np.asarray(values, dtype=np.int64))
+
+
+@contextmanager
+def no_cycle_search() -> Iterator[None]:
+    """For loops that keep very many small values and make no reference cycles: Python's search for cycles
+    would walk through all of them again and again."""
+    was_on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was_on:
+            gc.enable()

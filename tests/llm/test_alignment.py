@@ -60,7 +60,7 @@ def figures(rows):
 
 
 def test_token_bytes_spell_texts(aligner):
-    assert aligner.by_part and not aligner.b.joins_over_space
+    assert aligner.by_part and not aligner.b.joins_at_cuts
     assert aligner.a.bytes_of[aligner.a.encode([""])[0][0]] == b" "
     for text in ("plain", "it's <|endoftext|> <s> <unk> <0x41>", "漢字 ß\0\t\x7f 😀", "  "):
         assert aligner.tokens(text) is not None
@@ -79,7 +79,7 @@ def test_parts_equal_whole_texts(aligner):
     whole.by_part = False
     r = random.Random(11)
     for _ in range(3000):
-        text = "".join(r.choice("abst 's  \n\t.,12é▁<>漢\x1c　") for _ in range(r.randint(0, 30)))
+        text = "".join(r.choice("abst 's  \n\n\t..,)!12é▁<>漢\x1c　") for _ in range(r.randint(0, 30)))
         p, q = aligner.align(text), whole.align(text)
         assert p[:5] == q[:5] and p[5].tolist() == q[5].tolist(), text
 
