@@ -14,7 +14,7 @@ from cartlens.plans.features import late_column
 
 @query("e1_count_per_key", "SELECT seller_state, count(*) AS n FROM wide GROUP BY 1 ORDER BY n DESC, 1")
 def e1(d: Data):
-    return agg.counts(d.wide, "seller_state").orderBy(F.desc("n"), "seller_state")
+    return agg.counts(d.counted_wide(items=["seller_state"]), "seller_state").orderBy(F.desc("n"), "seller_state")
 
 
 @query(
@@ -23,7 +23,7 @@ def e1(d: Data):
        SELECT review_score, n, round(100.0::DOUBLE * n / (SELECT sum(n) FROM g), 6) AS share FROM g""",
 )
 def e2(d: Data):
-    return agg.frequencies(d.wide, "review_score", digits=6)
+    return agg.frequencies(d.counted_wide(reviews=["review_score"]), "review_score", digits=6)
 
 
 @query(
@@ -177,7 +177,7 @@ def e21(d: Data):
     + " FROM raw_wide GROUP BY review_score",
 )
 def e22(d: Data):
-    return agg.crosstab(d.raw_wide, "review_score", "payment_type")
+    return agg.crosstab(d.counted_raw(reviews=["review_score"], payments=["payment_type"]), "review_score", "payment_type")
 
 
 @query(
@@ -245,7 +245,7 @@ def e27(d: Data):
 
 @query("e33_distinct_values", "SELECT DISTINCT customer_state, payment_type FROM raw_wide")
 def e33(d: Data):
-    return agg.distinct_values(d.raw_wide, "customer_state", "payment_type")
+    return agg.distinct_values(d.counted_raw("customer_state", payments=["payment_type"]), "customer_state", "payment_type")
 
 
 @query(

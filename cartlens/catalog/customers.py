@@ -8,9 +8,8 @@ from cartlens.catalog.base_sql import days, money
 from cartlens.catalog.registry import Data, query, rounded
 from cartlens.operators import aggregates as agg
 from cartlens.operators import stattests, weighted
-from cartlens.plans import rfm
-from cartlens.plans.features import CORRELATED, FEATURES, customer_rollup, late_per_customer, product_behaviour
-from cartlens.plans.wide import with_intervals
+from cartlens.plans import factored, rfm
+from cartlens.plans.features import CORRELATED, FEATURES, late_per_customer
 
 
 @query(
@@ -51,7 +50,7 @@ _ROLLUP_MEANS = ("purchased_approved", "purchased_delivered", "review_score")
         CAST(sum(late_deliveries) AS BIGINT) AS late_deliveries FROM frows GROUP BY customer_unique_id""",
 )
 def e7(d: Data):
-    return rounded(customer_rollup(with_intervals(d.wide)), 6, *_ROLLUP_MEANS)
+    return rounded(factored.rollup(d.cleaned), 6, *_ROLLUP_MEANS)
 
 
 _BEHAVIOUR = f"""SELECT product_id, count(DISTINCT order_id) AS orders, {money('price')} AS price, {money('freight_value')} AS freight_value,
@@ -62,7 +61,7 @@ _BEHAVIOUR = f"""SELECT product_id, count(DISTINCT order_id) AS orders, {money('
 
 @query("e8_product_behaviour", _BEHAVIOUR)
 def e8(d: Data):
-    return rounded(product_behaviour(d.wide), 6, "review_score")
+    return rounded(factored.behaviour(d.cleaned), 6, "review_score")
 
 
 def _corr_sql(columns, source: str) -> str:
@@ -141,7 +140,7 @@ _BEHAVIOUR_COLUMNS = ("orders", "price", "freight_value", "product_weight_g", "p
 
 @query("e18_top_product_correlation", f"WITH t AS ({_BEHAVIOUR}) {_corr_sql(_BEHAVIOUR_COLUMNS, 't')}")
 def e18(d: Data):
-    top = rounded(product_behaviour(d.wide), 6, "review_score")
+    top = rounded(factored.behaviour(d.cleaned), 6, "review_score")
     return rounded(weighted.correlation_pairs(top, _BEHAVIOUR_COLUMNS), 6, "correlation")
 
 

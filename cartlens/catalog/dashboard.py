@@ -10,6 +10,7 @@ from cartlens.functions import dates
 from cartlens.operators import aggregates as agg
 from cartlens.operators import profile
 from cartlens.plans import kpis, rfm
+from cartlens.plans.wide import with_review_times
 
 SHARE = "round(100.0::DOUBLE * n / (SELECT sum(n) FROM g), {digits}) AS share"
 
@@ -21,19 +22,39 @@ def _share(key: str, source: str = "dash", digits: int = 2, extra: str = "") ->
     )
 
 
+def _seller_places(d: Data):
+    return d.counted_view(items=["seller_id", "seller_state", "seller_city"])
+
+
+def _people(d: Data):
+    return d.counted_view("customer_state", "customer_city", "customer_unique_id")
+
+
+def _category_sales(d: Data):
+    return d.counted_view(items=["product_category_name_english"], totals=["price"])
+
+
+def _category_states(d: Data):
+    return d.counted_wide("customer_state", items=["product_category_name_english"])
+
+
+def _reviewed(d: Data):
+    return with_review_times(d.counted_view("order_delivered_customer_date", reviews=kpis.FIRST_REVIEW))
+
+
 @query("k1_cities_serviced", "SELECT count(DISTINCT customer_city) + max(CASE WHEN customer_city IS NULL THEN 1 ELSE 0 END) AS cities FROM dash")
 def k1(d: Data):
-    return kpis.cities_serviced(d.view)
+    return kpis.cities_serviced(d.counted_view("customer_city"))
 
 
 @query("k2_average_days_to_deliver", "SELECT CAST(round_even(avg(difference_purchased_delivered), 0) AS INTEGER) AS days_to_deliver FROM dash")
 def k2(d: Data):
-    return kpis.average_days_to_deliver(d.view)
+    return kpis.average_days_to_deliver(d.counted_view("difference_purchased_delivered"))
 
 
 @query("k3_delay_shares", _share("delay_or_no_delay"))
 def k3(d: Data):
-    return kpis.delay_shares(d.view)
+    return kpis.delay_shares(d.counted_view("delay_or_no_delay"))
 
 
 @query(
@@ -41,12 +62,12 @@ def k3(d: Data):
     "SELECT round(100.0::DOUBLE * count(*) FILTER (WHERE delay_or_no_delay = 'No Delay') / count(*), 2) AS on_time_percent FROM dash",
 )
 def k3b(d: Data):
-    return kpis.on_time_percent(d.view)
+    return kpis.on_time_percent(d.counted_view("delay_or_no_delay"))
 
 
 @query("k4_orders_per_state", "SELECT customer_state, count(DISTINCT order_id) AS orders FROM dash GROUP BY customer_state")
 def k4(d: Data):
-    return kpis.orders_per_state(d.view)
+    return kpis.orders_per_state(d.counted_view("customer_state"))
 
 
 def _cities(column: str) -> str:
@@ -58,12 +79,12 @@ def _cities(column: str) -> str:
 
 @query("k5_fastest_cities", _cities("difference_purchased_delivered"))
 def k5(d: Data):
-    return rounded(kpis.fastest_cities(d.view), 6, "mean_days")
+    return rounded(kpis.fastest_cities(d.counted_view("customer_city", "difference_purchased_delivered")), 6, "mean_days")
 
 
 @query("k6_most_delayed_cities", _cities("estimated_delivered_difference"))
 def k6(d: Data):
-    return rounded(kpis.most_delayed_cities(d.view), 6, "mean_days")
+    return rounded(kpis.most_delayed_cities(d.counted_view("customer_city", "estimated_delivered_difference")), 6, "mean_days")
 
 
 _SELLERS = """SELECT seller_state, seller_city, count(DISTINCT seller_id) AS sellers FROM dash
@@ -74,7 +95,7 @@ _PEOPLE = """SELECT customer_state, customer_city, count(customer_unique_id) AS
 
 @query("k7_sellers_per_city", _SELLERS)
 def k7(d: Data):
-    return kpis.sellers_per_city(d.view, more_than=0)
+    return kpis.sellers_per_city(_seller_places(d), more_than=0)
 
 
 @query(
@@ -83,12 +104,12 @@ def k7(d: Data):
         CAST(grouping(seller_state, seller_city) AS INTEGER) AS level FROM g GROUP BY ROLLUP (seller_state, seller_city)""",
 )
 def k7b(d: Data):
-    return agg.state_city_totals(kpis.sellers_per_city(d.view, 0), "seller_state", "seller_city", "sellers")
+    return agg.state_city_totals(kpis.sellers_per_city(_seller_places(d), 0), "seller_state", "seller_city", "sellers")
 
 
 @query("k8_customers_per_city", _PEOPLE)
 def k8(d: Data):
-    return kpis.customers_per_city(d.view, at_least=20)
+    return kpis.customers_per_city(_people(d), at_least=20)
 
 
 @query(
@@ -97,7 +118,7 @@ def k8(d: Data):
         CAST(grouping(customer_state, customer_city) AS INTEGER) AS level FROM g GROUP BY ROLLUP (customer_state, customer_city)""",
 )
 def k8b(d: Data):
-    return agg.state_city_totals(kpis.customers_per_city(d.view, 20), "customer_state", "customer_city", "customers")
+    return agg.state_city_totals(kpis.customers_per_city(_people(d), 20), "customer_state", "customer_city", "customers")
 
 
 @query(
@@ -107,17 +128,17 @@ def k8b(d: Data):
         round(CAST(count(DISTINCT order_id) AS DOUBLE) / count(DISTINCT customer_unique_id), 2) AS orders_per_customer FROM dash""",
 )
 def k9(d: Data):
-    return kpis.customer_totals(d.view)
+    return kpis.customer_totals(d.counted_view("customer_unique_id", totals=["price"]))
 
 
 @query("k10_orders_per_month", "SELECT order_month_year, count(*) AS n FROM dash GROUP BY order_month_year")
 def k10(d: Data):
-    return kpis.orders_per_month(d.view)
+    return kpis.orders_per_month(d.counted_view("order_month_year"))
 
 
 @query("k11_sales_per_month", f"SELECT order_month_year, {money('price')} AS sales FROM dash GROUP BY order_month_year")
 def k11(d: Data):
-    return kpis.sales_per_month(d.view)
+    return kpis.sales_per_month(d.counted_view("order_month_year", totals=["price"]))
 
 
 @query(
@@ -125,7 +146,7 @@ def k11(d: Data):
     "SELECT order_month_year, count(DISTINCT customer_unique_id) AS customers FROM dash GROUP BY order_month_year",
 )
 def k12(d: Data):
-    return kpis.customers_per_month(d.view)
+    return kpis.customers_per_month(d.counted_view("order_month_year", "customer_unique_id"))
 
 
 _REVENUE = f"""WITH g AS (SELECT product_category_name_english, {money('price')} AS revenue FROM dash
@@ -135,7 +156,7 @@ _REVENUE = f"""WITH g AS (SELECT product_category_name_english, {money('price')}
 
 @query("k13_category_revenue", _REVENUE + " SELECT * FROM s")
 def k13(d: Data):
-    return kpis.category_revenue(d.view)
+    return kpis.category_revenue(_category_sales(d))
 
 
 @query(
@@ -145,7 +166,7 @@ def k13(d: Data):
           ORDER BY revenue DESC, product_category_name_english LIMIT 1""",
 )
 def k13b(d: Data):
-    return kpis.top_category(d.view)
+    return kpis.top_category(_category_sales(d))
 
 
 @query(
@@ -156,7 +177,7 @@ def k13b(d: Data):
         LEFT JOIN g USING (order_month_year, payment_type)""",
 )
 def k14(d: Data):
-    return kpis.payments_by_month(d.view)
+    return kpis.payments_by_month(d.counted_view("order_month_year", payments=["payment_type"], totals=["payment_value"]))
 
 
 @query(
@@ -166,7 +187,7 @@ def k14(d: Data):
     + ")",
 )
 def k15(d: Data):
-    return kpis.top_categories_by_items(d.view)
+    return kpis.top_categories_by_items(d.counted_view(items=["product_category_name_english"]))
 
 
 @query(
@@ -177,12 +198,12 @@ def k15(d: Data):
         SELECT position, weekday, share FROM l LEFT JOIN s USING (weekday)""",
 )
 def k16(d: Data):
-    return kpis.weekday_shares(d.view)
+    return kpis.weekday_shares(d.counted_view("weekday"))
 
 
 @query("k17_hour_shares", _share("order_purchase_hour"))
 def k17(d: Data):
-    return kpis.hour_shares(d.view)
+    return kpis.hour_shares(d.counted_view("order_purchase_hour"))
 
 
 @query(
@@ -191,7 +212,7 @@ def k17(d: Data):
        SELECT CAST(least(floor((price - lo) / w), 999) AS INTEGER) AS bin, count(*) AS n FROM dash, b GROUP BY 1""",
 )
 def k18(d: Data):
-    return profile.histogram(d.view, "price", 1000).select("bin", "n")
+    return profile.histogram(d.counted_view(items=["price"]), "price", 1000).select("bin", "n")
 
 
 @query(
@@ -199,7 +220,7 @@ def k18(d: Data):
     "SELECT basket_size, count(*) AS orders FROM (SELECT order_id, count(*) AS basket_size FROM dash GROUP BY order_id) GROUP BY basket_size",
 )
 def k18b(d: Data):
-    return kpis.basket_sizes(d.view)
+    return kpis.basket_sizes(d.counted_view())
 
 
 @query(
@@ -232,7 +253,7 @@ def _lags(label: str, source: str, order: tuple[str, ...], key: str) -> str:
     ),
 )
 def k20(d: Data):
-    return rounded(kpis.review_lag_shares(d.view), 6, "share")
+    return rounded(kpis.review_lag_shares(_reviewed(d)), 6, "share")
 
 
 @query(
@@ -245,7 +266,7 @@ def k20(d: Data):
     ),
 )
 def k20b(d: Data):
-    return rounded(kpis.answer_lag_shares(d.view), 6, "share")
+    return rounded(kpis.answer_lag_shares(d.counted_view(reviews=["review_answer_time_difference_label"])), 6, "share")
 
 
 @query(
@@ -267,7 +288,7 @@ def k21(d: Data):
     "SELECT delay_or_no_delay, round(avg(review_score), 6) AS mean_score FROM dash GROUP BY delay_or_no_delay",
 )
 def k22(d: Data):
-    return rounded(kpis.mean_score_by_delay(d.view), 6, "mean_score")
+    return rounded(kpis.mean_score_by_delay(d.counted_view("delay_or_no_delay", totals=["review_score"])), 6, "mean_score")
 
 
 @query(
@@ -276,7 +297,7 @@ def k22(d: Data):
         round(avg(review_score), 6) AS average_score, {money('freight_value')} AS total_freight FROM raw_wide""",
 )
 def k23(d: Data):
-    return rounded(kpis.live_figures(d.raw_wide), 6, "average_freight", "average_score")
+    return rounded(kpis.live_figures(d.counted_raw(totals=["freight_value", "payment_value", "review_score"])), 6, "average_freight", "average_score")
 
 
 @query(
@@ -284,7 +305,7 @@ def k23(d: Data):
     "SELECT product_id, count(order_item_id) AS items FROM wide GROUP BY product_id ORDER BY items DESC, product_id LIMIT 10",
 )
 def k24(d: Data):
-    return kpis.top_products(d.wide)
+    return kpis.top_products(d.counted_wide(items=["product_id"], totals=["order_item_id"]))
 
 
 _CATEGORY_STATE = "SELECT product_category_name_english, customer_state, count(*) AS counts FROM wide GROUP BY ALL"
@@ -292,7 +313,7 @@ _CATEGORY_STATE = "SELECT product_category_name_english, customer_state, count(*
 
 @query("k25_category_state_counts", _CATEGORY_STATE)
 def k25(d: Data):
-    return kpis.category_state_counts(d.wide)
+    return kpis.category_state_counts(_category_states(d))
 
 
 @query(
@@ -301,7 +322,7 @@ def k25(d: Data):
         (SELECT product_category_name_english FROM g GROUP BY 1 ORDER BY sum(counts) DESC, 1 LIMIT 3)""",
 )
 def k25b(d: Data):
-    return kpis.category_state_counts(d.wide, top=3)
+    return kpis.category_state_counts(_category_states(d), top=3)
 
 
 @query(
@@ -339,7 +360,7 @@ def k27b(d: Data):
     "SELECT round(avg(CASE WHEN order_delivered_customer_date > order_estimated_delivery_date THEN 1 ELSE 0 END) * 100, 6) AS late_percent FROM wide",
 )
 def k28(d: Data):
-    return rounded(kpis.late_percent(d.wide), 6, "late_percent")
+    return rounded(kpis.late_percent(d.counted_wide("order_delivered_customer_date", "order_estimated_delivery_date")), 6, "late_percent")
 
 
 @query(
@@ -358,7 +379,7 @@ def k29(d: Data):
        ORDER BY n DESC, review_comment_title LIMIT 10""",
 )
 def k29b(d: Data):
-    return agg.top_k(agg.counts(d.raw_wide, "review_comment_title"), "n", 10, ["review_comment_title"])
+    return agg.top_k(agg.counts(d.counted_raw(reviews=["review_comment_title"]), "review_comment_title"), "n", 10, ["review_comment_title"])
 
 
 @query(

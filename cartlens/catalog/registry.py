@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cartlens import session
 from cartlens.catalog.base_sql import with_tables
-from cartlens.plans import wide
+from cartlens.plans import factored, wide
 from cartlens.plans.features import CustomerFacts
 from cartlens.sources import testdata
 
@@ -41,9 +41,23 @@ class Data:
     def view(self) -> DataFrame:
         return wide.dashboard_view(self.wide, testdata.MONTH_CUTOFF)
 
+    @cached_property
+    def cleaned(self) -> dict[str, DataFrame]:
+        return wide.cleaned_tables(self.tables, drop=False)
+
     @cached_property
     def facts(self) -> CustomerFacts:
-        return CustomerFacts(self.wide)
+        return CustomerFacts(self.wide, factored.order_facts(self.cleaned))
+
+    def counted_view(self, *order: str, **wanted) -> DataFrame:
+        """Counted rows of the view: the same figures, without the rows of the wide join."""
+        return factored.counted_rows(factored.dashboard_tables(self.tables, testdata.MONTH_CUTOFF), order, **wanted)
+
+    def counted_wide(self, *order: str, **wanted) -> DataFrame:
+        return factored.counted_rows(self.cleaned, order, **wanted)
+
+    def counted_raw(self, *order: str, **wanted) -> DataFrame:
+        return factored.counted_rows(wide.raw_tables(self.tables), order, **wanted)
 
 
 FUNCTIONS: dict[str, Callable[[Data], DataFrame]] = {}

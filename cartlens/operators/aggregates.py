@@ -29,6 +29,39 @@ def money_avg(column: str | Column) -> Column:
     return F.try_divide(F.sum(exact(c)).cast("double"), F.count(c))
 
 
+# Counted rows have this column: how many equal rows each one stands for (plans.factored).
+JOINED_ROWS = "joined_rows"
+
+
+def known(column: str) -> str:
+    """Of counted rows with a total, the column with the number of rows that had a value."""
+    return f"{column}__known"
+
+
+def row_count(df: DataFrame, column: str | None = None) -> Column:
+    """The number of rows, or of rows that know the column, plain or counted."""
+    if JOINED_ROWS not in df.columns:
+        return F.count(F.lit(1) if column is None else column)
+    if column is not None and known(column) in df.columns:
+        n = F.sum(known(column))
+    else:
+        n = F.sum(JOINED_ROWS if column is None else F.when(F.col(column).isNotNull(), F.col(JOINED_ROWS)))
+    return F.coalesce(n, F.lit(0)).cast("bigint")
+
+
+def row_sum(df: DataFrame, value: Column) -> Column:
+    """The sum over rows, plain or counted, of a value that all rows a counted row stands for share."""
+    return F.sum(value if JOINED_ROWS not in df.columns else value * F.col(JOINED_ROWS))
+
+
+def row_mean(df: DataFrame, column: str) -> Column:
+    """The mean over rows, plain or counted."""
+    if JOINED_ROWS not in df.columns:
+        return F.avg(column)
+    total = F.sum(column) if known(column) in df.columns else F.sum(F.col(column) * F.col(JOINED_ROWS))
+    return F.try_divide(total.cast("double"), row_count(df, column))
+
+
 CELLS = 1 << 15  # bits of Spark's bitmap aggregate
 
 
@@ -40,7 +73,7 @@ def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def counts(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
-    return keyed(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return keyed(df, keys).groupBy(*keys).agg(row_count(df).alias(name))
 
 
 def share_of_total(grouped: DataFrame, value: str, out: str, digits: int | None = None) -> DataFrame:

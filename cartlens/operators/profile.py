@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.operators import quantiles
-from cartlens.operators.aggregates import counts
+from cartlens.operators.aggregates import counts, row_count
 
 LETTER_PROBABILITIES = (0.0, 1 / 16, 0.125, 0.25, 0.5, 0.75, 0.875, 15 / 16, 1.0)
 
@@ -119,7 +119,7 @@ def histogram(df: DataFrame, column: str, bins: int, low: float | None = None, h
     # one value only: everything is in bin 0
     index = F.least(F.coalesce(F.floor(F.try_divide(x - lo, width)), F.lit(0)), F.lit(bins - 1)).cast("int")
     inside = known.filter((x >= lo) & (x <= hi))
-    grouped = inside.groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    grouped = inside.groupBy(index.alias("bin")).agg(row_count(df).alias("n"))
     return grouped.select(
         "bin", (lo + F.col("bin") * width).alias("bin_start"), (lo + (F.col("bin") + 1) * width).alias("bin_end"), "n"
     )

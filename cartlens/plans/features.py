@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions import dates, labels
-from cartlens.operators.aggregates import exact, money_sum
+from cartlens.operators.aggregates import exact, money_sum, row_count, row_mean, row_sum
 from cartlens.operators.keyjoin import attach_per_key
 from cartlens.session import materialize
 
 PERSON = "customer_unique_id"
 FEATURES = ("monetary_value", "frequency", "customer_tenure", "late_deliveries", "num_orders")
+PRODUCT_SIZES = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
 CORRELATED = ("review_score", "recency", "frequency", "monetary_value", "customer_tenure", "late_deliveries", "num_orders")
 
 
@@ -39,14 +40,18 @@ def order_facts(wide: DataFrame) -> DataFrame:
 
 
 class CustomerFacts:
-    """The wide table reduced once to order facts, and the frames derived from them."""
+    """The wide table reduced once to order facts, and the frames derived from them.
 
-    def __init__(self, wide: DataFrame):
+    facts, if given, are the order facts made without the wide join (plans.factored.order_facts); then
+    only figures that need every joined row run that join, once."""
+
+    def __init__(self, wide: DataFrame, facts: DataFrame | None = None):
         self.wide = wide
+        self.facts = order_facts(wide) if facts is None else facts
 
     @cached_property
     def orders(self) -> DataFrame:
-        return materialize(order_facts(self.wide), "order-facts")
+        return materialize(self.facts, "order-facts")
 
     @property
     def latest(self):
@@ -114,39 +119,45 @@ def late_per_customer(facts: CustomerFacts) -> DataFrame:
     )
 
 
-def customer_rollup(rows: DataFrame) -> DataFrame:
-    """One row per person with mixed aggregates over its joined rows (intervals included).
+def customer_rollup(rows: DataFrame, bought: DataFrame | None = None) -> DataFrame:
+    """One row per person with mixed aggregates over its joined rows (intervals included), plain or counted.
+    Counted rows are of order grain; then bought has the persons' product_ids.
 
     num_orders counts the distinct values of a per-person constant, and monetary_value adds
     the person's total once per row; both are kept as published. The corrected figures are
     in CustomerFacts.customers. The largest recency of a person belongs to its first purchase,
     so the last purchase of all is needed only after grouping, from one row per person.
     """
-    paid, n = F.sum(exact("payment_value")), F.count(F.lit(1))
+    paid, n = F.sum(exact("payment_value")), row_count(rows)
+    products = [] if bought is not None else [F.count_distinct("product_id").alias("product_id")]
     first, last = F.min("order_purchase_timestamp"), F.max("order_purchase_timestamp")
     grouped = rows.groupBy(PERSON).agg(
         F.max("customer_zip_code_prefix").alias("customer_zip_code_prefix"),
         F.max("customer_city").alias("customer_city"),
         F.max("customer_state").alias("customer_state"),
         F.count_distinct("order_id").alias("order_id"),
-        F.avg("purchased_approved").alias("purchased_approved"),
+        row_mean(rows, "purchased_approved").alias("purchased_approved"),
         F.min("delivered_estimated").alias("delivered_estimated"),
-        F.avg("purchased_delivered").alias("purchased_delivered"),
-        F.count_distinct("product_id").alias("product_id"),
+        row_mean(rows, "purchased_delivered").alias("purchased_delivered"),
+        *products,
         money_sum("price").alias("price"),
         money_sum("freight_value").alias("freight_value"),
         F.max("payment_type").alias("payment_type"),
         F.max("payment_installments").alias("payment_installments"),
         paid.cast("double").alias("payment_value"),
-        F.avg("review_score").alias("review_score"),
+        row_mean(rows, "review_score").alias("review_score"),
         F.lit(1).cast("bigint").alias("num_orders"),
         n.cast("double").alias("frequency"),
         (paid * n.cast("decimal(16,0)")).cast("double").alias("monetary_value"),
         dates.whole_days(last, first).alias("customer_tenure"),
-        F.sum(late_column()).alias("late_deliveries"),
+        row_sum(rows, late_column()).alias("late_deliveries"),
         first.alias("__first"),
         last.alias("__last"),
     )
+    if bought is not None:
+        # a person's equal products meet before the shuffle; null is a person of its own here too
+        numbers = bought.select(PERSON, "product_id").distinct().groupBy(PERSON).agg(F.count("product_id").alias("product_id"))
+        grouped = grouped.alias("g").join(numbers.alias("p"), F.col(f"g.{PERSON}").eqNullSafe(F.col(f"p.{PERSON}"))).drop(numbers[PERSON])
     people = materialize(grouped, "rollup")
     latest = people.agg(F.max("__last")).scalar()
     return people.withColumn("recency", dates.whole_days(latest, F.col("__first"))).drop("__first", "__last")
@@ -158,10 +169,6 @@ def product_behaviour(rows: DataFrame, k: int | None = 10) -> DataFrame:
         F.count_distinct("order_id").alias("orders"),
         money_sum("price").alias("price"),
         money_sum("freight_value").alias("freight_value"),
-        F.avg("product_weight_g").alias("product_weight_g"),
-        F.avg("product_length_cm").alias("product_length_cm"),
-        F.avg("product_height_cm").alias("product_height_cm"),
-        F.avg("product_width_cm").alias("product_width_cm"),
-        F.avg("review_score").alias("review_score"),
+        *[row_mean(rows, c).alias(c) for c in (*PRODUCT_SIZES, "review_score")],
     )
     return per_product if k is None else per_product.orderBy(F.desc("orders"), "product_id").limit(k)

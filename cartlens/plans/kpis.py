@@ -1,5 +1,6 @@
 """Dashboard figures. Inputs are rows of plans.wide.dashboard_view unless said otherwise, so
-counts are at joined-row grain where the dashboard counts joined rows."""
+counts are at joined-row grain where the dashboard counts joined rows. Rows may be plain, or counted
+by plans.factored, where those of the wide join are never made."""
 
 from __future__ import annotations
 
@@ -29,7 +30,7 @@ def cities_serviced(view: DataFrame) -> DataFrame:
 
 def average_days_to_deliver(view: DataFrame) -> DataFrame:
     """Mean whole days, rounded half to even."""
-    return view.agg(F.bround(F.avg("difference_purchased_delivered"), 0).cast("int").alias("days_to_deliver"))
+    return view.agg(F.bround(agg.row_mean(view, "difference_purchased_delivered"), 0).cast("int").alias("days_to_deliver"))
 
 
 def delay_shares(view: DataFrame) -> DataFrame:
@@ -47,7 +48,7 @@ def orders_per_state(view: DataFrame) -> DataFrame:
 
 def cities_by_mean(view: DataFrame, column: str, k: int = 5) -> DataFrame:
     """The k cities with the lowest mean of a day column."""
-    means = agg.keyed(view, ["customer_city"]).groupBy("customer_city").agg(F.avg(column).alias("mean_days"))
+    means = agg.keyed(view, ["customer_city"]).groupBy("customer_city").agg(agg.row_mean(view, column).alias("mean_days"))
     return agg.top_k(means.filter(F.col("mean_days").isNotNull()), "mean_days", k, ["customer_city"], ascending=True)
 
 
@@ -68,7 +69,7 @@ def sellers_per_city(view: DataFrame, more_than: int = 20) -> DataFrame:
 def customers_per_city(view: DataFrame, at_least: int = 500) -> DataFrame:
     """Joined rows with a known person per city, as the dashboard counts them."""
     known = agg.keyed(view, ["customer_state", "customer_city"])
-    people = known.groupBy("customer_state", "customer_city").agg(F.count("customer_unique_id").alias("customers"))
+    people = known.groupBy("customer_state", "customer_city").agg(agg.row_count(view, "customer_unique_id").alias("customers"))
     return people.filter(F.col("customers") >= at_least)
 
 
@@ -181,7 +182,7 @@ def score_shares(orders: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def mean_score_by_delay(view: DataFrame) -> DataFrame:
-    return view.groupBy("delay_or_no_delay").agg(F.avg("review_score").alias("mean_score"))
+    return view.groupBy("delay_or_no_delay").agg(agg.row_mean(view, "review_score").alias("mean_score"))
 
 
 def score_summary(view: DataFrame) -> DataFrame:
@@ -203,16 +204,16 @@ def score_summary(view: DataFrame) -> DataFrame:
 def live_figures(rows: DataFrame) -> DataFrame:
     """Freight, payments and score over unfiltered rows."""
     return rows.agg(
-        agg.money_avg("freight_value").alias("average_freight"),
+        F.try_divide(agg.money_sum("freight_value"), agg.row_count(rows, "freight_value")).alias("average_freight"),
         agg.money_sum("payment_value").alias("total_payment"),
-        F.avg("review_score").alias("average_score"),
+        agg.row_mean(rows, "review_score").alias("average_score"),
         agg.money_sum("freight_value").alias("total_freight"),
     )
 
 
 def top_products(rows: DataFrame, k: int = 10) -> DataFrame:
     known = agg.keyed(rows, ["product_id"])
-    sold = known.groupBy("product_id").agg(F.count("order_item_id").alias("items"))
+    sold = known.groupBy("product_id").agg(agg.row_count(rows, "order_item_id").alias("items"))
     return agg.top_k(sold, "items", k, ["product_id"])
 
 
@@ -249,7 +250,8 @@ def geolocation_coverage(geolocation: DataFrame) -> DataFrame:
 def late_percent(rows: DataFrame) -> DataFrame:
     from cartlens.plans.features import late_column
 
-    return rows.agg((F.avg(late_column()) * 100.0).alias("late_percent"))
+    marked = rows.withColumn("late_deliveries", late_column())
+    return marked.agg((agg.row_mean(marked, "late_deliveries") * 100.0).alias("late_percent"))
 
 
 def live_sales(sales: DataFrame, minutes: int) -> DataFrame:

@@ -108,9 +108,13 @@ def build_wide(t: Mapping[str, DataFrame], drop: bool = True, hot: Mapping = Map
     return join_wide(cleaned_tables(t, drop), hot)
 
 
+def raw_tables(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {**{name: t[name] for name in TABLE_NAMES}, "order_reviews": parse_reviews(t["order_reviews"])}
+
+
 def raw_wide(t: Mapping[str, DataFrame]) -> DataFrame:
     """All tables joined without any cleaning, for exploration."""
-    return join_wide({**{name: t[name] for name in TABLE_NAMES}, "order_reviews": parse_reviews(t["order_reviews"])})
+    return join_wide(raw_tables(t))
 
 
 def with_intervals(df: DataFrame) -> DataFrame:
@@ -128,13 +132,11 @@ def with_intervals(df: DataFrame) -> DataFrame:
     })
 
 
-def dashboard_view(wide: DataFrame, cutoff: str = "2018-09") -> DataFrame:
-    """Delivered rows before the cutoff month with the derived dashboard columns."""
-    df = clean.before_month(clean.keep_status(wide), "order_purchase_timestamp", cutoff)
+def dashboard_orders(orders: DataFrame, cutoff: str = "2018-09") -> DataFrame:
+    """Delivered orders (or rows with their columns) before the cutoff month, with the derived order columns."""
+    df = clean.before_month(clean.keep_status(orders), "order_purchase_timestamp", cutoff)
     bought = F.col("order_purchase_timestamp")
     early = dates.whole_days(F.col("order_estimated_delivery_date"), F.col("order_delivered_customer_date"))
-    answer = dates.whole_days(F.col("review_answer_timestamp"), F.col("review_creation_date"))
-    review = dates.whole_days(F.col("review_creation_date"), F.col("order_delivered_customer_date"))
     return df.withColumns({
         "order_month_year": dates.month_label(bought),
         "weekday": dates.weekday_name(bought),
@@ -142,8 +144,26 @@ def dashboard_view(wide: DataFrame, cutoff: str = "2018-09") -> DataFrame:
         "difference_purchased_delivered": dates.whole_days(F.col("order_delivered_customer_date"), bought),
         "estimated_delivered_difference": early,
         "delay_or_no_delay": labels.delay_label(early),
+    })
+
+
+def with_answer_times(reviews: DataFrame) -> DataFrame:
+    answer = dates.whole_days(F.col("review_answer_timestamp"), F.col("review_creation_date"))
+    return reviews.withColumns({
         "review_answer_time_difference": answer,
         "review_answer_time_difference_label": labels.answer_lag_label(answer),
+    })
+
+
+def with_review_times(rows: DataFrame) -> DataFrame:
+    """Time from delivery to review; rows know both dates."""
+    review = dates.whole_days(F.col("review_creation_date"), F.col("order_delivered_customer_date"))
+    return rows.withColumns({
         "delivery_review_time_difference": review,
         "delivery_review_time_difference_label": labels.review_lag_label(review),
     })
+
+
+def dashboard_view(wide: DataFrame, cutoff: str = "2018-09") -> DataFrame:
+    """Delivered rows before the cutoff month with the derived dashboard columns."""
+    return with_review_times(with_answer_times(dashboard_orders(wide, cutoff)))
