@@ -9,6 +9,7 @@ from cartlens.functions import dates
 from cartlens.operators import aggregates as agg
 from cartlens.operators import profile, quantiles, stattests
 from cartlens.plans.explore import with_time_of_day
+from cartlens.session import materialize
 
 _STATS = ("mean", "std", "min", "q25", "median", "q75", "max")
 
@@ -24,7 +25,7 @@ _NUMERIC = ("price", "freight_value", "payment_value", "payment_installments", "
 
 @query("e11_numeric_profile", " UNION ALL ".join(_profile_sql(c, "raw_wide") for c in _NUMERIC))
 def e11(d: Data):
-    rows = d.raw_wide.select(*_NUMERIC)
+    rows = materialize(d.raw_wide.select(*_NUMERIC), "numbers")  # scanned twice
     return rounded(profile.numeric_profile(rows, _NUMERIC), 4, *_STATS)
 
 
@@ -61,7 +62,7 @@ def _quantile_sql(columns, probabilities, source: str) -> str:
 
 @query("e13_quantiles", _quantile_sql(_NUMERIC, (0.25, 0.75), "raw_wide"))
 def e13(d: Data):
-    rows = d.raw_wide.select(*_NUMERIC)
+    rows = materialize(d.raw_wide.select(*_NUMERIC), "numbers")
     return rounded(quantiles.quantile_frame(rows, _NUMERIC, (0.25, 0.75)), {"value": 4, "probability": 6})
 
 
@@ -69,7 +70,7 @@ def e13(d: Data):
 def e13b(d: Data):
     """The way taken for columns with many distinct values, whatever their number."""
     columns, probabilities = ("price", "payment_value"), (0.05, 0.25, 0.5, 0.9)
-    q = quantiles.exact_quantiles(d.raw_wide.select(*columns), columns, probabilities, final_limit=64)
+    q = quantiles.exact_quantiles(materialize(d.raw_wide.select(*columns), "numbers"), columns, probabilities, final_limit=64)
     rows = [(c, p, v) for c in columns for p, v in zip(probabilities, q[c])]
     frame = d.spark.createDataFrame(rows, "`column` string, probability double, value double")
     return rounded(frame, {"value": 4, "probability": 6})
@@ -103,7 +104,7 @@ def e14(d: Data):
     ),
 )
 def e14b(d: Data):
-    return rounded(profile.shape_inside_fence(d.raw_wide.select(*_SHAPED), _SHAPED), 6, "skew", "adjusted_skew", "kurtosis")
+    return rounded(profile.shape_inside_fence(materialize(d.raw_wide.select(*_SHAPED), "numbers"), _SHAPED), 6, "skew", "adjusted_skew", "kurtosis")
 
 
 @query(
@@ -158,7 +159,7 @@ def e31(d: Data):
 )
 def e32(d: Data):
     columns = ("price", "product_weight_g")
-    return rounded(profile.letter_values(d.raw_wide.select(*columns), columns), {"value": 4, "probability": 6})
+    return rounded(profile.letter_values(materialize(d.raw_wide.select(*columns), "numbers"), columns), {"value": 4, "probability": 6})
 
 
 # -- tests ---------------------------------------------------------------------------------

@@ -18,22 +18,27 @@ def _rows(one: DataFrame, entries: list[Column]) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
-    """column, count, mean, std (sample), min, quartiles, max; exact."""
-    q = quantiles.exact_quantiles(df, columns, (0.0, 0.25, 0.5, 0.75, 1.0), weight)
-    n = F.col(weight) if weight else F.lit(1)
+    """column, count, mean, std (sample), min, quartiles, max; exact. Plain rows are scanned twice: moments
+    come with the sketches."""
+    five = (0.0, 0.25, 0.5, 0.75, 1.0)
+    if weight is None:
+        x = {c: F.col(c).cast("double") for c in columns}
+        moments = {f"{c}__{k}": f(x[c]) for c in columns for k, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_samp))}
+        q, got = quantiles.sketched_quantiles(df, columns, five, also=moments)
+        rows = [(c, got[f"{c}__n"], got[f"{c}__m"], got[f"{c}__s"], *q[c]) for c in columns]
+        numbers = ", ".join(f"{name} double" for name in ("mean", "std", "min", "q25", "median", "q75", "max"))
+        return df.sparkSession.createDataFrame(rows, f"`column` string, count bigint, {numbers}")
+    q = quantiles.exact_quantiles(df, columns, five, weight)
     aggs = []
     for c in columns:
-        x, w = F.col(c).cast("double"), F.when(F.col(c).isNotNull(), n)
+        x, w = F.col(c).cast("double"), F.when(F.col(c).isNotNull(), F.col(weight))
         total = F.sum(w).cast("double")
-        if weight:
-            # measured from the median, which keeps the squares small
-            centre = F.lit(q[c][2]).cast("double")
-            shift = F.sum((x - centre) * w) / total
-            mean = centre + shift
-            squares = F.sum((x - centre) * (x - centre) * w) - total * shift * shift
-            std = F.sqrt(F.try_divide(F.greatest(squares, F.lit(0.0)), total - 1))
-        else:
-            mean, std = F.avg(x), F.stddev_samp(x)
+        # measured from the median, which keeps the squares small
+        centre = F.lit(q[c][2]).cast("double")
+        shift = F.sum((x - centre) * w) / total
+        mean = centre + shift
+        squares = F.sum((x - centre) * (x - centre) * w) - total * shift * shift
+        std = F.sqrt(F.try_divide(F.greatest(squares, F.lit(0.0)), total - 1))
         aggs += [F.coalesce(F.sum(w), F.lit(0)).cast("bigint").alias(f"{c}__n"), mean.alias(f"{c}__m"), std.alias(f"{c}__s")]
     entries = [
         F.struct(

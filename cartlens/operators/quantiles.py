@@ -1,10 +1,17 @@
 """Exact quantiles with linear interpolation, and what is built on them.
 
-The data is first counted per distinct value, which collapses hot values before the shuffle.
+Plain rows: a mergeable KLL sketch per column gives a bracket of values around every wanted rank, and one
+more scan counts what lies between the brackets and returns the few values inside. Where a bracket
+still holds too many values, it is sketched again. The sketch only proposes; ranks come from the exact counts, so
+a proposal that misses costs another round and never a wrong result. Nothing but sketches, counts and
+values inside brackets is shuffled.
+
+Weighted rows are first counted per distinct value, which collapses hot values before the shuffle.
 Ranks are then found by counting, in the same way whatever the size: every round splits the
 interval around each wanted rank into equal parts, counts them, and keeps the part that holds the
-rank, until few distinct values are left. No task ever sorts or holds a whole column. Infinite
-values have ranks like others but are only counted.
+rank, until few distinct values are left.
+
+No task ever sorts or holds a whole column. Infinite values have ranks like others.
 """
 
 from __future__ import annotations
@@ -19,6 +26,12 @@ from cartlens.session import materialize
 
 PARTS = 1024
 FINAL_LIMIT = 4096
+# Size of a sketch, and the share of the values on each side of a rank that its bracket takes: three
+# times the error that a sketch of this size has in one of a hundred cases.
+SKETCH_SIZE = 4096
+SPREAD = 0.002
+# A bracket of at most so many values is returned, a larger one sketched again.
+BRACKET_LIMIT = 50_000
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
@@ -40,9 +53,152 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     weight: str | None = None,
-    final_limit: int = FINAL_LIMIT,
+    final_limit: int | None = None,
+) -> dict[str, list[float | None]]:
+    """Quantiles per column; nulls and NaN do not count. weight counts a row several times. Plain rows are scanned
+    twice or more, so a frame that is costly to compute should be written before."""
+    if weight is None:
+        return sketched_quantiles(df, columns, probabilities, final_limit or BRACKET_LIMIT)[0]
+    return _weighted_quantiles(df, columns, probabilities, weight, final_limit or FINAL_LIMIT)
+
+
+def _strictly(x: Column, low: float | None, high: float | None) -> Column:
+    inside = x.isNotNull()
+    inside = inside if low is None else inside & (x > F.lit(low))
+    return inside if high is None else inside & (x < F.lit(high))
+
+
+def sketched_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], limit: int = BRACKET_LIMIT,
+    also: Mapping[str, Column] | None = None,
+) -> tuple[dict[str, list[float | None]], dict]:
+    """Quantiles per column, and the values of further aggregates of df taken in the first scan."""
+    columns, also = list(dict.fromkeys(columns)), dict(also or {})
+    every = {(c, None, None): list(probabilities) for c in columns}
+    first, brackets = _sketch(df, every, [expr.alias(f"also__{name}") for name, expr in also.items()], ends=True)
+    places = {c: [float(p) * (first[f"n__{c}"] - 1) for p in probabilities] for c in columns if first[f"n__{c}"]}
+    found: dict[tuple[str, int], float] = {}
+    # (column, rank) -> open interval that holds it, values up to its low end, values inside
+    open_: dict[tuple[str, int], tuple[float | None, float | None, int, int]] = {}
+    proposed: dict[tuple[str, int], tuple[float, float]] = {}
+    for c, ps in places.items():
+        n = first[f"n__{c}"]
+        for p, (low, high) in zip(ps, brackets[c, None, None]):
+            for k in (math.floor(p), math.ceil(p)):
+                if k == 0:
+                    found[c, k] = first[f"low__{c}"]
+                elif k == n - 1:
+                    found[c, k] = first[f"high__{c}"]
+                else:
+                    open_[c, k] = (None, None, 0, n)
+                    proposed[c, k] = (low, high)
+    while open_:
+        _count_cells(df, open_, proposed, found, limit)
+        proposed = _propose(df, open_, limit) if open_ else {}
+    out: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    for c, ps in places.items():
+        pairs = [(found[c, math.floor(p)], found[c, math.ceil(p)], p) for p in ps]
+        out[c] = [a if a == b else a + (b - a) * (p - math.floor(p)) for a, b, p in pairs]
+    return out, {name: first[f"also__{name}"] for name in also}
+
+
+def _sketch(df: DataFrame, wanted: Mapping, extra: Sequence[Column] = (), ends: bool = False) -> tuple[dict, dict]:
+    """One scan: further aggregates, each column's number of values and ends, and a bracket for every wanted
+    share of the values in each (column, low, high)."""
+    columns = list(dict.fromkeys(c for c, _, _ in wanted))
+    names = {c: f"value__{k}" for k, c in enumerate(columns)}
+    doubles = {c: F.col(c).cast("double") for c in columns}
+    rows = df.withColumns({names[c]: F.when(~F.isnan(x), x) for c, x in doubles.items()})
+    aggs = list(extra)
+    for c in columns if ends else ():
+        x = F.col(names[c])
+        aggs += [F.count(x).alias(f"n__{c}"), F.min(x).alias(f"low__{c}"), F.max(x).alias(f"high__{c}")]
+    for k, ((c, low, high), shares) in enumerate(wanted.items()):
+        x = F.when(_strictly(F.col(names[c]), low, high), F.col(names[c]))
+        cuts = F.array(*[F.lit(float(min(max(p + d, 0.0), 1.0))) for p in shares for d in (-SPREAD, SPREAD)])
+        sketch = F.kll_sketch_agg_double(x, F.lit(SKETCH_SIZE))
+        aggs.append(F.when(F.count(x) > 0, F.kll_sketch_get_quantile_double(sketch, cuts)).alias(f"cuts__{k}"))
+    row = rows.agg(*aggs).first().asDict()
+    brackets = {}
+    for k, (key, shares) in enumerate(wanted.items()):
+        cuts = row[f"cuts__{k}"] or []
+        brackets[key] = list(zip(cuts[::2], cuts[1::2]))
+    return row, brackets
+
+
+def _propose(df: DataFrame, open_: Mapping, limit: int) -> dict[tuple[str, int], tuple[float | None, float | None]]:
+    """A bracket for every open rank: its whole interval if that is small, else from a sketch of it."""
+    out, wanted = {}, {}
+    for (c, k), (low, high, below, size) in open_.items():
+        if size <= limit:
+            out[c, k] = (low, high)
+        else:
+            wanted.setdefault((c, low, high), {})[k] = (k - below + 0.5) / size
+    if wanted:
+        _, brackets = _sketch(df, {key: list(shares.values()) for key, shares in wanted.items()})
+        for (c, low, high), shares in wanted.items():
+            out |= {(c, k): b for k, b in zip(shares, brackets[c, low, high])}
+    return out
+
+
+def _count_cells(df: DataFrame, open_: dict, proposed: Mapping, found: dict, limit: int) -> None:
+    """One scan: count what lies between the brackets and at their ends, and list or count what is inside.
+    Every open rank is found or gets a smaller interval."""
+    cuts: dict[str, list[list]] = {}
+    for (c, k), (low, high) in proposed.items():
+        size = open_[c, k][3]
+        listed = size if open_[c, k][:2] == (low, high) else 2 * SPREAD * size
+        cuts.setdefault(c, []).append([low, high, listed])
+    for c, brackets in cuts.items():
+        brackets.sort(key=lambda b: (b[0] is not None, b[0] or 0.0))
+        merged: list[list] = []
+        for low, high, listed in brackets:
+            if merged and (merged[-1][1] is None or low is None or low <= merged[-1][1]):
+                last = merged[-1]
+                if (low, high) != tuple(last[:2]):
+                    last[1] = None if last[1] is None or high is None else max(last[1], high)
+                    last[2] += listed
+            else:
+                merged.append([low, high, listed])
+        cuts[c] = merged
+    cells = []
+    for c, brackets in cuts.items():
+        x = F.col(c).cast("double")
+        cell, kept = F.lit(4 * len(brackets)), F.lit(False)
+        for i, (low, high, listed) in reversed(list(enumerate(brackets))):
+            at = F.lit(4 * i + 2)
+            if low is not None:
+                at = F.when(x < F.lit(low), 4 * i).when(x == F.lit(low), 4 * i + 1).otherwise(at)
+            if high is not None:
+                at = F.when(x < F.lit(high), at).when(x == F.lit(high), F.lit(4 * i + 1 if low == high else 4 * i + 3)).otherwise(cell)
+            cell = at
+            if listed <= limit:
+                kept = kept | _strictly(x, low, high)
+        counted = F.when(x.isNotNull() & ~F.isnan(x), F.struct(F.lit(c).alias("column"), cell.alias("cell"), F.when(kept, x).alias("value")))
+        cells.append(counted)
+    grouped = df.select(F.explode(F.array(*cells)).alias("c")).filter("c is not null").groupBy("c.column", "c.cell", "c.value")
+    rows: dict[str, list] = {}
+    for r in grouped.agg(F.count(F.lit(1)).alias("n")).collect():
+        rows.setdefault(r["column"], []).append((r["cell"], r["value"], r["n"]))
+    for c, brackets in cuts.items():
+        seen, ranks = 0, sorted(k for col, k in open_ if col == c)
+        for cell, value, n in sorted(rows[c], key=lambda r: (r[0], r[1] is not None, r[1] or 0.0)):
+            i, kind = divmod(cell, 4)
+            for k in [k for k in ranks if seen <= k < seen + n]:
+                if value is not None or kind in (1, 3):
+                    found[c, k] = value if value is not None else brackets[i][0 if kind == 1 else 1]
+                    del open_[c, k]
+                elif kind == 2:
+                    open_[c, k] = (brackets[i][0], brackets[i][1], seen, n)
+                else:
+                    low = brackets[i - 1][1] if i else None
+                    open_[c, k] = (low, brackets[i][0] if i < len(brackets) else None, seen, n)
+            seen += n
+
+
+def _weighted_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], weight: str, final_limit: int
 ) -> dict[str, list[float | None]]:
-    """Quantiles per column. weight counts a row several times."""
     counted = materialize(value_counts(df, columns, weight), "value-counts")
     finite = F.abs("value") < math.inf
     sizes = {
