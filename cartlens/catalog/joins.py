@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cartlens.catalog.base_sql import FIVE, days, money, qcut, stamp
@@ -11,7 +13,8 @@ from cartlens.operators import aggregates as agg
 from cartlens.operators import clean
 from cartlens.operators.keyjoin import attach_per_key
 from cartlens.plans import rfm, wide
-from cartlens.session import materialize
+from cartlens.session import materialize, scratch_path
+from cartlens.sources import bucketed
 
 _WIDE_COLUMNS = (
     "order_id", "customer_id", "product_id", "seller_id", "order_item_id", "price", "freight_value", "payment_type",
@@ -33,6 +36,15 @@ def d1b(d: Data):
     return wide.build_wide(d.tables, hot=hot).select(*_WIDE_COLUMNS)
 
 
+@query("d1_bucketed_wide_join", f"SELECT {', '.join(_WIDE_COLUMNS)} FROM wide")
+def d1c(d: Data):
+    """The same join over order tables that are stored in buckets of the order, some orders apart."""
+    prefix = f"shop_{uuid.uuid4().hex}"
+    hot = wide.hot_orders(d.tables, part_rows=10)
+    bucketed.write_order_tables(d.cleaned, prefix, scratch_path(d.spark, "buckets"), buckets=8, hot=hot)
+    return bucketed.join_stored(d.spark, prefix, d.cleaned).select(*_WIDE_COLUMNS)
+
+
 _PER_PERSON = f"""p AS (SELECT customer_unique_id, count(*) AS frequency, {money('payment_value')} AS monetary_value,
     {days('max(order_purchase_timestamp)', 'min(order_purchase_timestamp)')} AS customer_tenure
     FROM c_orders JOIN c_customers USING (customer_id) JOIN c_payments USING (order_id) GROUP BY customer_unique_id)"""

@@ -81,10 +81,10 @@ def join_wide(t: Mapping[str, DataFrame], hot: Mapping = MappingProxyType({})) -
     products, not to the rows. No side is hinted: Catalyst broadcasts what it measures to be
     small, and AQE splits hot products and sellers otherwise. AQE cannot split a join whose
     input is already partitioned, so hot orders, if there are any, are passed in and spread
-    explicitly.
+    explicitly. order_heads, if given, are orders that have their customers already.
     """
     categorised = t["products"].join(t["category_translation"], "product_category_name")
-    joined = t["orders"].join(t["customers"], "customer_id")
+    joined = t["order_heads"] if "order_heads" in t else t["orders"].join(t["customers"], "customer_id")
     for name in ORDER_PARTS:
         joined = split_hot_join(t[name], joined, "order_id", hot)
     return joined.join(categorised, "product_id").join(t["sellers"], "seller_id")
