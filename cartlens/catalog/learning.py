@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cartlens.catalog.registry import Data, query, rounded
 from cartlens.catalog.scalars import REGIONS, REGION_SQL
-from cartlens.models import churn, recommend
+from cartlens.models import churn, factors, recommend, topk
 from cartlens.operators import evaluation, stattests
 from cartlens.session import materialize, scratch_path
 
@@ -109,6 +109,41 @@ def l5(d: Data):
     return before.join(after, ["user", "item"]).select(F.col("user").cast("bigint"), F.col("item").cast("bigint"), same.alias("same"))
 
 
+# Trained by stratified gradient descent; tests compare it with a sequential run and with all pairs.
+_DESCENT = factors.Setting(rank=30, lr=0.01, reg=0.02)
+_DESCENT_EPOCHS, _CELL = 5, 2_000
+
+
+def _descent(d: Data):
+    ratings, users, items = _person_ratings(d)
+    return factors.train(ratings, [_DESCENT], _DESCENT_EPOCHS, cell_ratings=_CELL).factors(), ratings, users, items
+
+
+@query("l2_descent_ratings")
+def l2c(d: Data):
+    """Every rated pair with its rating and the one predicted by factors from gradient descent."""
+    model, ratings, _, _ = _descent(d)
+    return rounded(model.predict(ratings).select("user", "item", "rating", "prediction"), 6, "rating", "prediction")
+
+
+@query("l3_descent_grid")
+def l3b(d: Data):
+    """Errors of all 18 combinations of rank, learning rate and regularisation over five folds, best first."""
+    ratings, _, _ = _person_ratings(d)
+    settings = factors.grid((40, 30), (0.001, 0.5005, 1.0), (0.01, 0.405, 0.8))
+    return rounded(factors.grid_search(ratings, settings, 5, 2, cell_ratings=_CELL), 6, "rmse", "mae")
+
+
+@query("f6_top_predicted_items")
+def f6b(d: Data):
+    """Five unseen products for every customer by predicted score, and how many of all pairs were scored for it."""
+    model, ratings, users, items = _descent(d)
+    best = topk.best_items(model, users, ratings, k=5, first_chunk=64)
+    named = best.rows.join(users, "user").join(items, "item").select("customer", "product_name", "place", "prediction")
+    named = named.withColumns({"scored": F.lit(best.scored).cast("bigint"), "pairs": F.lit(best.pairs).cast("bigint")})
+    return rounded(named, 6, "prediction")
+
+
 # -- churn -----------------------------------------------------------------------------------
 
 _FRAME = f"""SELECT CAST(dense_rank() OVER (ORDER BY {REGION_SQL}) - 1 AS INTEGER) AS customer_state, price, freight_value,
