@@ -121,6 +121,21 @@ def _solve(languages: list[str], cells: list[np.ndarray]) -> Model:
     return Model(classes, column, weights.astype(np.float32), solved[-1])
 
 
+def pack_cells(cells: np.ndarray) -> bytes:
+    """Present cells as their numbers, or as one bit each where that is no longer."""
+    if 4 * len(cells) < FEATURES // 8:
+        return cells.astype("<i4").tobytes()
+    bits = np.zeros(FEATURES, np.uint8)
+    bits[cells] = 1
+    return np.packbits(bits).tobytes()
+
+
+def unpack_cells(packed: bytes) -> np.ndarray:
+    if len(packed) < FEATURES // 8:
+        return np.frombuffer(packed, "<i4")
+    return np.flatnonzero(np.unpackbits(np.frombuffer(packed, np.uint8))).astype("<i4")
+
+
 def fit(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -130,34 +145,39 @@ def fit(
     fit_rows: int = FIT_ROWS,
 ) -> Model | None:
     """Learn from rows with a language (and `usable`, a condition on doc_id), at most fit_rows in all and
-    equally many of each language, chosen by a hash of the id. None if there are no such rows."""
+    equally many of each language, chosen by a hash of the id. None if there are no such rows.
+
+    Of the rows that share an id and a language, the text that sorts first is used. With more than fit_rows
+    languages, the most frequent ones are learned. The driver gets at most fit_rows rows of FEATURES / 8 bytes."""
     known = picked(docs, doc_id=doc_id, lang=lang).filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     if usable is not None:
         known = known.filter(usable)
-    classes = known.select("lang").distinct().count()
+    # ids of each language, of at most fit_rows languages
+    sizes = materialize(known.distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(fit_rows), "languages")
+    classes = sizes.count()
     if not classes:
         return None
-    # a frequent language is thinned by a hash to a few times what is wanted before its rows meet and are ranked
+    # a frequent language is thinned by a hash to a few times what is wanted, where it is read
     wanted = max(1, fit_rows // classes)
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    thinned = known.join(sizes, "lang").filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("n")) < 4 * wanted)
+    thinned = known.join(F.broadcast(sizes), "lang").filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("n")) < 4 * wanted)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = thinned.select("doc_id", "lang").distinct().withColumn("place", place).filter(F.col("place") <= wanted)
     chosen = materialize(chosen.select("doc_id", "lang"), "language-sample")
     # at most fit_rows ids
-    sample = picked(docs, doc_id=doc_id, text=text).filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    texts = picked(docs, doc_id=doc_id, text=text, lang=lang).filter(F.col("text").isNotNull())
+    sample = texts.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scratch = np.zeros(FEATURES, np.uint8)
         for batch in batches:
-            cells = [present(t, scratch).astype("<i4").tobytes() for t in strings(batch.column(1))]
+            cells = [pack_cells(present(t, scratch)) for t in strings(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.binary())], ["lang", "cells"])
 
     features = sample.select("lang", "text").mapInArrow(run, "lang string, cells binary")
-    rows = features.orderBy("lang", F.xxhash64("cells")).collect()  # bounded by fit_rows and FEATURES
+    rows = features.orderBy("lang", F.xxhash64("cells")).collect()  # fit_rows rows of FEATURES / 8 bytes at most
     if not rows:
         return None
-    return _solve([r["lang"] for r in rows], [np.frombuffer(bytes(r["cells"]), "<i4") for r in rows])
+    return _solve([r["lang"] for r in rows], [unpack_cells(bytes(r["cells"])) for r in rows])
 
 
 def predict(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

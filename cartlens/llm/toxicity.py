@@ -24,9 +24,8 @@ from pyspark.sql import functions as F
 from cartlens.llm.common import field_type, fresh, picked, strings
 from cartlens.session import materialize
 
-# Bound of the labelled rows a model is fitted on, per class, and of the words it keeps.
+# Bound of the labelled rows a model is fitted on, per class.
 FIT_ROWS = 20_000
-VOCABULARY = 50_000
 PRIOR = 50.0
 DRIFT = 1.0
 HIGHEST = 8.0
@@ -129,7 +128,7 @@ class Model:
 
 
 def _shared(spark: SparkSession, model: Model):
-    """Broadcast of a model as plain values; its size is bounded by the vocabulary."""
+    """Broadcast of a model as plain values; its words are those of a bounded sample."""
     return spark.sparkContext.broadcast(dict(vars(model)))
 
 
@@ -137,16 +136,20 @@ def _sample(labelled: DataFrame, rows: int) -> DataFrame:
     """At most `rows` documents of each class, taken by a hash of the id; the ids of the chosen are
     bounded by 2 * rows, so they may be broadcast."""
     ids = labelled.select("doc_id", "toxic")
-    chosen = [
-        ids.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for c in (0, 1)
-    ]
+    chosen = []
+    for c in (0, 1):
+        mine = ids.filter(F.col("toxic") == c)
+        # a large class is thinned by a hash to a few times what is wanted before its ids meet
+        n = max(1, mine.count())
+        thinned = mine.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(n)) < 4 * rows)
+        chosen.append(thinned.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     return chosen[0].unionByName(chosen[1])
 
 
 def _decay(clean: DataFrame, model: Model) -> float:
     """lambda: the positive root of E[exp(lambda score)] = 1 over the words of ordinary documents.
 
-    The number of distinct scores is bounded by the vocabulary. Each counts half a word more than it was
+    The number of distinct scores is bounded by the model's words. Each counts half a word more than it was
     seen, so that scores not seen in ordinary text do not make it unbounded."""
     shared = _shared(clean.sparkSession, model)
 
@@ -212,12 +215,12 @@ def fit(
     text: str = "text",
     usable: Column | None = None,
     fit_rows: int = FIT_ROWS,
-    vocabulary: int = VOCABULARY,
 ) -> Model:
     """Learn from labelled documents (labels: doc_id, toxic 0/1; other values are left out).
 
     usable: a condition on a column doc_id that the labels must meet. At most fit_rows documents of
-    each class are used. Without documents of both classes the model scores every text 0.
+    each class are used; of rows that share an id, the text that sorts first. Texts that are equal but for case
+    and white space count once for each class. Without documents of both classes the model scores every text 0.
     """
     spark = docs.sparkSession
     known = labels.select("doc_id", "toxic").filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -225,11 +228,11 @@ def fit(
         known = known.filter(usable)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = materialize(_sample(known, fit_rows), "toxic-sample")
-    sample = picked(docs, doc_id=doc_id, text=text).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    # copies and most near copies of a labelled text are one observation: they share the words of least hash
-    words = F.array_distinct(F.split(F.coalesce("text", F.lit("")), r"\s+"))
-    least = [F.array_min(F.transform(words, lambda w, k=k: F.xxhash64(w, F.lit(k)))).alias(f"h{k}") for k in range(2)]
-    sample = sample.groupBy(*least, "toxic").agg(F.min("text").alias("text"))
+    sample = picked(docs, doc_id=doc_id, text=text).join(F.broadcast(chosen), "doc_id")
+    sample = sample.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    # copies of a labelled text are one observation
+    same = F.sha2(F.lower(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " "))), 256)
+    sample = sample.groupBy(same.alias("same"), "toxic").agg(F.min("text").alias("text"))
     sample = materialize(sample.select("text", F.col("toxic").cast("int")), "toxic-texts")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
@@ -271,7 +274,7 @@ def fit(
     spread = 1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior)
     rated = counts.select("stem", "token", value.alias("value"), (value / F.sqrt(spread)).alias("z"))
     rated = rated.filter((F.col("value") > DRIFT) & (F.col("z") > MIN_Z))
-    rows = rated.orderBy(F.desc("z"), "stem", "token").limit(vocabulary).collect()
+    rows = rated.collect()  # words of the bounded sample that are significantly toxic
     scores, stems = (
         {bytes(r["token"]): min(r["value"], HIGHEST) - DRIFT for r in rows if r["stem"] == kind} for kind in (False, True)
     )
@@ -318,7 +321,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     segments as first and last word and surprisal).
 
     A null or empty text has no words and gets the score of a text without any segment. The model's
-    size is bounded by its vocabulary. Map-only.
+    words are those of a bounded sample. Map-only.
     """
     shared = _shared(docs.sparkSession, model)
     passage = pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("surprisal", pa.float64())])
