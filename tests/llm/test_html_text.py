@@ -1,3 +1,7 @@
+import math
+import random
+from collections import Counter
+
 import numpy as np
 import pytest
 from helpers import got
@@ -117,3 +121,72 @@ def test_marks_beside_an_article_hold_however_long():
     html = f"<article><p>short article</p></article><section id=comments>{BODY}</section>"
     assert html_text.main_text(html) == "short article"
     assert html_text.main_text("<p>one <span class=share>Share</span> two</p>") == "one two"
+
+
+LEAD = "This paragraph is long enough to be running text of an article, with many words and hardly a tag in it at all. " * 3
+
+
+def test_nothing_inside_an_article_is_lost():
+    """Marks that only look like those of adverts, comments or forms, and linked lists amid the text."""
+    cases = {
+        '<pre>x = 1 <span class="hljs-comment"># note</span></pre>': "x = 1 # note",
+        '<pre>y <span class="comment">-- why</span></pre>': "y -- why",
+        'the <span class="search-term">needle</span> is': "the needle is",
+        'in <abbr class="ad">AD</abbr> 70': "in AD 70",
+        f'<div class="social-history"><p>Social history: {LEAD}</p></div>': f"Social history: {LEAD.strip()}",
+        "press the <label>red knob</label> now": "press the red knob now",
+        "<ul><li><a href=a>First item</a></li><li><a href=b>Second item</a></li></ul>": "First item\nSecond item",
+    }
+    for html, text in cases.items():
+        page = f"<html><body><article><p>{LEAD}</p>{html}<p>{LEAD}</p></article></body></html>"
+        assert html_text.main_text(page) == f"{LEAD.strip()}\n{text}\n{LEAD.strip()}"
+
+
+def test_headings_and_short_lines_without_an_article():
+    page = f"<body><nav><a href=a>Home</a></nav><div><h1>Title here</h1><p>{LEAD}</p><h2>Part two</h2><p>Short one.</p><p>{LEAD}</p></div></body>"
+    assert html_text.main_text(page) == f"Title here\n{LEAD.strip()}\nPart two\nShort one.\n{LEAD.strip()}"
+
+
+def test_marked_lines_go():
+    page = f'<article><p>{LEAD}</p><p><b class="share-line">Share this</b></p><div class="share"><a href=x>x</a> Share</div></article>'
+    assert html_text.main_text(page) == LEAD.strip()
+
+
+def test_pages_without_their_article_tags(folder, spark):
+    """The ratios alone find nearly all of the text of the supplied pages, and hardly any other."""
+    import re
+
+    kept = wanted = got = 0
+    for r in spark.read.parquet(f"{folder}/pages.parquet").collect():
+        html = r["html"] or ""
+        right = Counter(html_text.main_text(html).split("\n"))
+        mine = Counter(html_text.main_text(re.sub(r"</?(article|main)\b[^>]*>", "", html)).split("\n"))
+        size = lambda c: sum(len(x) * n for x, n in c.items())
+        kept, wanted, got = kept + size(right & mine), wanted + size(right), got + size(mine)
+    assert kept / wanted > 0.98 and kept / got > 0.99
+
+
+def test_lines_smoothing_and_clusters_by_brute_force():
+    r = random.Random(4)
+    for _ in range(60):
+        lines = [html_text.Line("x" * r.choice([3, 9, 200, 900]), r.randint(1, 4), False, r.random() < 0.2, ()) for _ in range(r.randint(1, 30))]
+        ratios = [0.0 if x.linked else math.log(1 + len(x.text) / x.tags) for x in lines]
+        reach = round(3 * html_text.SIGMA)
+        if len(lines) <= 2 * reach:
+            reach = len(lines)
+        smooth = []
+        for k in range(len(lines)):
+            near = [(j, math.exp(-0.5 * ((j - k) / html_text.SIGMA) ** 2)) for j in range(len(lines)) if abs(j - k) <= reach]
+            smooth.append(sum(w * ratios[j] for j, w in near) / sum(w for _, w in near))
+        got, border = html_text.dense(lines)
+        low = [v for v in smooth if v <= border]
+        high = [v for v in smooth if v > border]
+        if border == 0.0:
+            assert got == list(range(len(lines)))
+            continue
+        # a fixed point of the two means, far enough apart
+        middles = sum(low) / len(low), sum(high) / len(high)
+        assert abs(sum(middles) / 2 - border) < 1e-6 and middles[1] - middles[0] >= math.log(html_text.APART) - 1e-9
+        good = [k for k, v in enumerate(smooth) if v >= border]
+        filled = {j for a, b in zip(good, good[1:]) if b - a - 1 <= html_text.GAP for j in range(a, b)}
+        assert got == sorted(filled | set(good))
