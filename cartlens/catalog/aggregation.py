@@ -145,14 +145,14 @@ def e4_discounts(d: Data):
     return d.raw("lineitem").groupBy(F.col("l_suppkey").cast("bigint").alias("l_suppkey")).agg(agg.money_sum(given).alias("discounts"))
 
 
-@query(
-    "e20_live_totals",
-    " UNION ALL ".join(
-        f"""SELECT CAST({m} AS INTEGER) AS minutes, CAST(sum(num_transactions) AS BIGINT) AS num_transactions,
-            CAST(sum(num_orders) AS BIGINT) AS num_orders, CAST(sum(sales) AS BIGINT) AS sales FROM ({_live(m)})"""
-        for m in (60, 30, 10, 5)
-    ),
+TOTALS_SQL = " UNION ALL ".join(
+    f"""SELECT CAST({m} AS INTEGER) AS minutes, CAST(sum(num_transactions) AS BIGINT) AS num_transactions,
+        CAST(sum(num_orders) AS BIGINT) AS num_orders, CAST(sum(sales) AS BIGINT) AS sales FROM ({_live(m)})"""
+    for m in (60, 30, 10, 5)
 )
+
+
+@query("e20_live_totals", TOTALS_SQL)
 def e20b(d: Data):
     return kpis.live_totals(d["live_sales"])
 

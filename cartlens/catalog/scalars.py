@@ -10,6 +10,7 @@ from cartlens.functions import buckets, dates, labels, text
 from cartlens.operators import aggregates as agg
 from cartlens.operators import ordered, profile
 from cartlens.plans import rfm
+from cartlens.session import scratch_path
 
 _P, _D, _E = "order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date"
 _MICROS = f"(epoch_us({_D}) - epoch_us({_P}))"
@@ -276,6 +277,22 @@ def c25(d: Data):
     return ordered.first_seen_numbers(seen, "customer_unique_id", ["order_purchase_timestamp"], "number")
 
 
+@query(
+    "c25_lasting_numbers",
+    """WITH f AS (SELECT customer_unique_id, min(order_purchase_timestamp) AS t,
+              bool_or(order_purchase_timestamp < TIMESTAMP '1996-01-01') AS early FROM c_orders JOIN c_customers USING (customer_id) GROUP BY 1),
+            a AS (SELECT customer_unique_id, row_number() OVER (ORDER BY t, customer_unique_id) AS number FROM f WHERE early),
+            b AS (SELECT customer_unique_id, (SELECT count(*) FROM a) + row_number() OVER (ORDER BY t, customer_unique_id) AS number FROM f WHERE NOT early)
+       SELECT * FROM a UNION ALL SELECT * FROM b""",
+)
+def c25_lasting(d: Data):
+    """Numbers of persons given in two runs, the second over all orders: the first run's numbers stay."""
+    path = scratch_path(d.spark, "person-numbers")
+    seen = d["orders"].join(d["customers"], "customer_id").select("customer_unique_id", "order_purchase_timestamp")
+    ordered.lasting_numbers(seen.filter("order_purchase_timestamp < timestamp'1996-01-01'"), "customer_unique_id", ["order_purchase_timestamp"], "number", path)
+    return ordered.lasting_numbers(seen, "customer_unique_id", ["order_purchase_timestamp"], "number", path)
+
+
 @query(
     "c26_standardise",
     """SELECT order_id, product_id, round((price - (SELECT avg(price) FROM c_items)) / (SELECT stddev_pop(price) FROM c_items), 6) AS price,

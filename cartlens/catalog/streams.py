@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from cartlens import schemas
+from cartlens.catalog.aggregation import TOTALS_SQL
 from cartlens.catalog.base_sql import money, stamp
 from cartlens.catalog.registry import Data, query, rounded, text
 from cartlens.session import scratch_path
@@ -178,6 +179,18 @@ def i5b(d: Data):
     return text(sinks.drain(windows, "windows-stream"), "window_start", "window_end")
 
 
+@query("i5_rolling_totals", TOTALS_SQL)
+def i5c(d: Data):
+    """Totals of the last minutes as of the last of several micro-batches."""
+    path = scratch_path(d.spark, "rolling")
+    d["live_sales"].repartitionByRange(3, "created_date").write.parquet(f"{path}/topic")
+    sales = d.spark.readStream.schema(d["live_sales"].schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/topic")
+    live.rolling_totals(sales, path).awaitTermination()
+    totals = d.spark.read.parquet(f"{path}/totals")
+    last = totals.agg(F.max("batch_id")).scalar()
+    return totals.filter(F.col("batch_id") == last).drop("batch_id")
+
+
 def _live(d: Data) -> dict:
     """The live page over a stream of joined rows that comes in several micro-batches."""
     if not hasattr(d, "live_figures"):

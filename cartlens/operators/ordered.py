@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartlens.session import materialize
@@ -51,3 +52,30 @@ def first_seen_numbers(df: DataFrame, key: str, order_by: Sequence[str], out: st
     """1-based number per distinct key, by its first appearance in order_by."""
     first = df.groupBy(key).agg(F.min(F.struct(*order_by)).alias("__first"))
     return number_rows(first, ["__first", key], out).drop("__first")
+
+
+def lasting_numbers(df: DataFrame, key: str, order_by: Sequence[str], out: str, path: str) -> DataFrame:
+    """Numbers per key that last: keys of an earlier run keep theirs, new keys get the numbers behind the highest,
+    by first appearance in order_by.
+
+    The table at path, key and out, is only ever appended to, in one commit per run, so a run that failed changes
+    nothing and can be repeated. One run at a time. A null key is a key.
+    """
+    spark = df.sparkSession
+    rows, highest = df, F.lit(0).cast("bigint")
+    if _exists(spark, path):
+        known = spark.read.parquet(path)
+        rows = df.join(known, df[key].eqNullSafe(known[key]), "left_anti")
+        highest = F.lit(known.agg(F.coalesce(F.max(out), F.lit(0))).first()[0]).cast("bigint")
+    new = first_seen_numbers(rows, key, order_by, out)
+    new.select(key, (F.col(out) + highest).cast("bigint").alias(out)).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a finished table is there."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True

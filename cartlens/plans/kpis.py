@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions import labels
@@ -268,10 +268,14 @@ def live_sales(sales: DataFrame, minutes: int) -> DataFrame:
 
 def live_totals(sales: DataFrame, periods: Sequence[int] = (60, 30, 10, 5)) -> DataFrame:
     """Grand totals of live_sales for several periods, from one pass over the longest."""
-    longest = live_sales(sales, max(periods))
     newest = sales.agg(F.max("created_date")).scalar()
+    return totals_of_groups(live_sales(sales, max(periods)), newest, periods)
+
+
+def totals_of_groups(groups: DataFrame, newest: Column, periods: Sequence[int]) -> DataFrame:
+    """Totals per period before the newest sale, from rows of live_sales."""
     period = F.explode(F.array(*[F.lit(p) for p in periods])).alias("minutes")
-    spread = longest.select("*", period).filter(
+    spread = groups.select("*", period).filter(
         F.col("created_date") >= newest - F.make_dt_interval(mins=F.col("minutes"))
     )
     return spread.groupBy("minutes").agg(
@@ -279,5 +283,3 @@ def live_totals(sales: DataFrame, periods: Sequence[int] = (60, 30, 10, 5)) -> D
         F.sum("num_orders").alias("num_orders"),
         F.sum("sales").cast("bigint").alias("sales"),
     )
-
-

@@ -81,8 +81,8 @@ def batch_writer(path: str, table: str | None = None) -> Callable[[DataFrame, in
     return write
 
 
-def to_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, **kw) -> StreamingQuery:
-    return start(df.writeStream.outputMode("append").foreachBatch(write), df.sparkSession, checkpoint, **kw)
+def to_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", **kw) -> StreamingQuery:
+    return start(df.writeStream.outputMode(mode).foreachBatch(write), df.sparkSession, checkpoint, **kw)
 
 
 def figure_writer(path: str, partials: Mapping[str, Callable[[DataFrame], DataFrame]]) -> Callable[[DataFrame, int], None]:
