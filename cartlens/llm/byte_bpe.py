@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import array
 import base64
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -53,6 +54,7 @@ class Vocabulary:
             raise ValueError("a byte-level vocabulary has every single byte")
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.length_of = {rank: len(token) for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         # the two tokens whose merge makes a token; one that merging never makes is only used for a piece that is just it
         self.halves: dict[int, list[int]] = {}
@@ -113,6 +115,22 @@ class Vocabulary:
                 j += 1
 
 
+    def encode(self, data: bytes) -> list[int]:
+        """The tokens of a whole piece, from the last token of each of its prefixes (see Prefixes)."""
+        last, fits, known, n = [-1], self.fits, 0, len(data)
+        for end, (size, token) in self.matches.iter(data.decode("latin-1")):
+            if end >= known and (end + 1 == size or fits(last[end + 1 - size], token)):
+                last.append(token)
+                known = end + 1
+        out = []
+        while n:
+            token = last[n]
+            out.append(token)
+            n -= self.length_of[token]
+        out.reverse()
+        return out
+
+
 class Prefixes:
     """The unique valid last token of every prefix of a growing, editable piece of bytes.
 
@@ -212,6 +230,10 @@ class Splitter:
         self.usual = regex.compile(pattern)
         bare = {r"\p{L}": letters, r"\p{N}": numbers}
         self.exact = regex.compile(self._spelled(pattern, bare))
+        try:  # the standard engine is faster where letters and numbers are those of ASCII
+            self.ascii = re.compile(self._spelled(pattern, {r"\p{L}": "A-Za-z", r"\p{N}": "0-9"}), re.ASCII)
+        except re.error:
+            self.ascii = self.usual
         self.differ = frozenset(regex.findall(f"[{differ}]", "".join(map(chr, range(0x110000))))) if differ else frozenset()
 
     @staticmethod
@@ -233,7 +255,9 @@ class Splitter:
         return "".join(out)
 
     def engine(self, text: str):
-        return self.usual if text.isascii() or self.differ.isdisjoint(text) else self.exact
+        if text.isascii():
+            return self.ascii
+        return self.usual if self.differ.isdisjoint(text) else self.exact
 
     def __call__(self, text: str) -> list[str]:
         return self.engine(text).findall(text)
@@ -251,7 +275,7 @@ class Encoder(dict):
     def __missing__(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.vocabulary.whole_only.get(data)
-        ids = pack_ids(Prefixes(self.vocabulary, data).ids() if whole is None else [whole])
+        ids = pack_ids(self.vocabulary.encode(data) if whole is None else [whole])
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHE_PIECES:
                 self.clear()
@@ -270,6 +294,8 @@ class Encoder(dict):
         follows the first later place where old and new pieces begin alike."""
         changed, shift = text[:start] + new + text[stop:], len(new) - (stop - start)
         old_engine, engine = self.split.engine(text), self.split.engine(changed)
+        # the three engines cut the same pieces, but the exact one where the others would not be exact
+        same = (old_engine is self.split.exact) == (engine is self.split.exact)
         keep = 0
         begins = {0}
         for m in old_engine.finditer(text):
@@ -283,7 +309,7 @@ class Encoder(dict):
 
         out, at, encoded = [ids[: ids_before(keep)]], keep, 0
         for m in engine.finditer(changed, keep):
-            if m.start() >= start + len(new) and m.start() - shift in begins and old_engine is engine:
+            if m.start() >= start + len(new) and m.start() - shift in begins and same:
                 break
             out.append(self[m.group()])
             encoded += len(m.group().encode())
