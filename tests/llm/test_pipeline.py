@@ -20,7 +20,7 @@ def test_equals_sql(spark, folder, name):
 
 def test_all_operators_are_registered():
     names = queries.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in names and set(queries.oracle_sql()) <= set(names)
 
 
