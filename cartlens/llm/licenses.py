@@ -7,9 +7,9 @@ neighbouring pieces, which are parted by ends of lines or sentences. Dice of two
 passages' bigrams with the broadcast bigrams of the templates, which the size condition prunes
 in the join; only counts of matching passages are shuffled.
 
-Runs are made only where one can match: in documents that have, all in all, as many of a template's bigrams
-as a match needs. Of those, a run that begins and ends with pieces that add a bigram of the template
-is at least as similar as the same run with more pieces around it, so only such runs are compared.
+Runs are looked at only where one can match: in documents that have, all in all, as many of a template's bigrams
+as a match needs. There one walk over the pieces finds the best run, in time linear in the text and in memory
+bounded by the text and the template.
 """
 
 from __future__ import annotations
@@ -26,12 +26,20 @@ SIMILARITY = 0.8
 BROADCAST_BIGRAMS = 1_000_000
 NORMAL_WORD = "[a-z0-9]+"
 PIECE_END = r"(?<=[.!?])\s+|\r?\n"
-# of the words w of pieces: the piece of every word, and the bigrams in their order
-PLACES = "flatten(transform(pieces, (p, k) -> array_repeat(k, size(p))))"
+# Bigrams in the order of words.
 ORDERED = (
     "case when size(w) > 1 then transform(sequence(0, size(w) - 2), i -> xxhash64(w[i], w[i + 1])) "
     "else cast(array() as array<bigint>) end"
 )
+# of every piece: its bigrams, and the one that its last word forms with the next piece
+IN_PIECES = (
+    "transform(pieces, (p, k) -> struct(case when size(p) > 1 then transform(sequence(0, size(p) - 2), "
+    "i -> xxhash64(p[i], p[i + 1])) else cast(array() as array<bigint>) end as inside, "
+    "case when k < size(pieces) - 1 then array(xxhash64(p[size(p) - 1], pieces[k + 1][0])) "
+    "else cast(array() as array<bigint>) end as across))"
+)
+# Entries of the lists below, told by their last two bits: 0 a bigram, 1 one of the template, 2 the end of a piece.
+MARKED = "x -> x & -4L | if(array_contains(near.t, x), 1L, 0L)"
 
 # Public notices and license texts, as published.
 _BSD_DISCLAIMER = (
@@ -182,8 +190,35 @@ def passages(text: Column) -> Column:
     return F.array_distinct(F.concat(*parts))
 
 
+def _best_run(factor: float) -> Column:
+    """The highest Dice of a run of `grams` to the template `near`, 0 if none comes near.
+
+    From the last piece to the first, a list of the distinct bigrams from there on in order of their first
+    occurrence, with ends of pieces between them, is carried along: what stands before an end are the bigrams of
+    the run up to it. Bigrams beyond those that a match may have can be forgotten, as they never move forward, and
+    of ends without a new bigram between them the first is enough. So the list is as long as
+    the template allows, however long the text is and however often it repeats.
+    """
+    most = f"cast(2 * floor(near.size / {factor}D) + 5 as int)"
+    joined = "array_distinct(concat(transform(g.inside, {m}), array(g.place), transform(g.across, {m}), s.list))".format(m=MARKED)
+    short = f"slice(filter(a, (x, i) -> (x & 3L) <> 2 or i = 0 or (a[i - 1] & 3L) <> 2), 1, {most})"
+    scan = (
+        "aggregate(l, struct(0L as n, 0L as shared, 0D as dice), (r, x) -> case when (x & 3L) = 2 "
+        "then struct(r.n as n, r.shared as shared, greatest(r.dice, 2D * r.shared / (r.n + near.size)) as dice) "
+        "else struct(r.n + 1 as n, r.shared + (x & 3L) as shared, r.dice as dice) end).dice"
+    )
+    score = f"case when size(filter(l, x -> (x & 3L) = 1)) >= near.size * {factor}D then {scan} else 0D end"
+    # transform over an array of one value gives the value a name
+    step = f"transform(transform(array({joined}), a -> {short}), l -> struct(l as list, greatest(s.dice, {score}) as dice))[0]"
+    placed = "reverse(transform(grams, (g, k) -> struct(g.inside, g.across, shiftleft(cast(k as bigint), 2) | 2L as place)))"
+    return F.expr(
+        f"aggregate({placed}, struct(cast(array() as array<bigint>) as list, 0D as dice), "
+        f"(s, g) -> case when s.dice >= 1 then s else {step} end).dice"
+    )
+
+
 def run_matches(rows: DataFrame, grams: DataFrame, similarity: float) -> DataFrame:
-    """doc_id, text_hash, license, dice of runs at least so similar to a template of two words or more.
+    """doc_id, text_hash, license, dice: the best run for each template of two words or more, if at least so similar.
 
     rows: doc_id, text_hash, text. Map-only: every document meets one broadcast row with the templates.
     """
@@ -199,27 +234,14 @@ def run_matches(rows: DataFrame, grams: DataFrame, similarity: float) -> DataFra
     key = ("doc_id", "text_hash")
     rows = made(rows.filter(F.length("text") > 2), "w", normal_words(F.col("text")), *key, "text")
     rows = made(rows, "b", F.expr(ORDERED), *key, "text").crossJoin(F.broadcast(table))
-    rows = made(rows, "met", F.array_intersect("b", "every"), *key, "text", "b", "templates").filter(F.size("met") > 0)
+    rows = made(rows, "met", F.array_intersect("b", "every"), *key, "text", "templates").filter(F.size("met") > 0)
     near = F.filter("templates", lambda t: F.size(F.array_intersect(F.col("met"), t["t"])) >= t["size"] * F.lit(factor))
-    rows = made(rows, "near", near, *key, "text", "b", "met").filter(F.size("near") > 0)
+    rows = made(rows, "near", near, *key, "text").filter(F.size("near") > 0)
     pieces = F.filter(F.transform(F.split("text", PIECE_END), normal_words), lambda p: F.size(p) > 0)
-    rows = made(rows, "pieces", pieces, *key, "b", "met", "near").filter(F.size("pieces") > 1)
-    rows = made(rows, "at", F.expr(PLACES), *key, "b", "met", "near", "pieces")
-    # where the templates' bigrams are: the pieces of both words
-    spots = F.expr("filter(transform(b, (x, k) -> struct(at[k] as a, at[k + 1] as z, x as b)), h -> array_contains(met, h.b))")
-    rows = made(rows, "spots", spots, *key, "near", "pieces").select(*key, "pieces", "spots", F.explode("near").alias("near"))
-    rows = made(rows, "hits", F.expr("filter(spots, h -> array_contains(near.t, h.b))"), *key, "pieces", "near")
-    rows = rows.select("*", F.explode(F.expr("array_distinct(hits.a)")).alias("first"))
-    rows = made(rows, "later", F.expr("filter(hits, h -> h.a >= first)"), *key, "pieces", "near", "first")
-    # a run ends with a piece where a bigram occurs for the first time since its begin
-    ends = F.expr("array_distinct(transform(array_distinct(later.b), x -> later.z[cast(array_position(later.b, x) as int) - 1]))")
-    rows = rows.select(*key, "pieces", "near", "first", F.explode(ends).alias("last"))
-    rows = made(rows, "w", F.expr("flatten(slice(pieces, first + 1, last - first + 1))"), *key, "near")
-    rows = made(rows, "b", _bigrams("w"), *key, "near")
-    n, size = F.size("b"), F.col("near.size")
-    rows = rows.filter((size >= n * F.lit(factor)) & (size * F.lit(factor) <= n))
-    dice = F.round(2 * F.size(F.array_intersect("b", "near.t")) / (n + size), 6)
-    return rows.select(*key, "near.license", dice.alias("dice")).filter(F.col("dice") >= similarity)
+    rows = made(rows, "pieces", pieces, *key, "near").filter(F.size("pieces") > 1)
+    rows = made(rows, "grams", F.expr(IN_PIECES), *key, "near").select(*key, "grams", F.explode("near").alias("near"))
+    rows = made(rows, "dice", F.round(_best_run(factor), 6), *key, "near")
+    return rows.select(*key, "near.license", "dice").filter(F.col("dice") >= similarity)
 
 
 def matches(
@@ -229,7 +251,8 @@ def matches(
     text: str = "text",
     similarity: float = SIMILARITY,
 ) -> DataFrame:
-    """doc_id, text_hash, passage, license, dice for every passage and template at least so similar; runs have no number."""
+    """doc_id, text_hash, passage, license, dice for every passage and template at least so similar; of the runs
+    the best for each template, without a number."""
     grams = template_bigrams(docs.sparkSession, texts or templates())
     bounds = grams.agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("low"), F.max("size").alias("high")).first()
     if bounds["n"] > BROADCAST_BIGRAMS:

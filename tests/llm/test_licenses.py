@@ -127,3 +127,17 @@ def test_runs_equal_brute_force(spark):
         want.append((d, name, best.get(name, 0.0), len(best), sorted(best)))
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert got(licenses.scan(df, own, similarity=0.6), *COLUMNS) == sorted(want, key=repr)
+
+
+def test_many_copies_in_one_document(spark):
+    # lines with a number of their own between the copies; a copy that differs a little; one with a long repeat inside
+    altered = published("MIT (text)").replace("sublicense", "sublicence and resell")
+    many = "\n\n".join(f"Component number {k}\n{altered}" for k in range(1500))
+    half = published("MIT (text)").split("\n\n")
+    held = f"{PROSE}\n" + half[0] + "\n" + "a line again\n" * 50_000 + "\n".join(half[1:])
+    rows = [(1, altered), (2, many), (3, held)]
+    out = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(many) > 1_500_000 and out[2]["license"] == "MIT (text)"
+    assert out[2]["dice"] == out[1]["dice"] < 1
+    t = len(bigrams(MIT))  # "a line again" adds four bigrams and parts one
+    assert out[3]["dice"] == round(2 * (t - 1) / (t + t - 1 + 5), 6)
