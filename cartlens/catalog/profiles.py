@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cartlens.catalog.registry import Data, query, rounded
 from cartlens.functions import dates
+from cartlens.functions import distributions as dist
 from cartlens.operators import aggregates as agg
 from cartlens.operators import profile, quantiles, stattests
 from cartlens.plans.explore import with_time_of_day
@@ -183,14 +184,20 @@ def s2(d: Data):
     return rounded(stattests.two_sample_t(_halves(d), "side", ["price", "freight_value"], "a", "b"), 6, "t_statistic")
 
 
-# 1.96 is the normal limit of 5 %, near enough for these degrees unless a statistic lies at it
+# the two-sided p-value from Simpson's rule over the density
+_T_P = """1 - 2 * abs(t_statistic) / 2000 / 3 * exp(lgamma((degrees + 1) / 2.0) - lgamma(degrees / 2.0)) / sqrt(degrees * pi())
+    * (SELECT sum(CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END
+       * exp(-(degrees + 1) / 2.0 * ln(1 + t_statistic * t_statistic * k * k / 4e6 / degrees))) FROM range(2001) AS r(k))"""
+
+
 @query(
     "s2_two_sample_t_with_p_values",
-    f"WITH {_HALVES} SELECT *, abs(t_statistic) > 1.96 AS differs FROM ({_t_sql('price')} UNION ALL {_t_sql('freight_value')})",
+    f"""WITH {_HALVES} SELECT * REPLACE (round(p_value, 5) AS p_value), p_value < 0.05 AS differs
+        FROM (SELECT *, {_T_P} AS p_value FROM ({_t_sql('price')} UNION ALL {_t_sql('freight_value')}))""",
 )
 def s2b(d: Data):
     tests = stattests.with_t_p_value(stattests.two_sample_t(_halves(d), "side", ["price", "freight_value"], "a", "b"))
-    return rounded(tests.withColumn("differs", F.col("p_value") < 0.05).drop("p_value"), 6, "t_statistic")
+    return rounded(tests.withColumn("differs", F.col("p_value") < 0.05), {"t_statistic": 6, "p_value": 5})
 
 
 @query(
@@ -204,18 +211,18 @@ def s3(d: Data):
     return rounded(stattests.chi_square_uniform(parts), 6, "statistic")
 
 
-# 12.591587 is the 5 % limit of chi-square with six degrees
+# chi-square with an even number of degrees has a closed form
 @query(
     "s3_chi_square_with_p_value",
     """WITH g AS (SELECT isodow(order_purchase_timestamp) AS day, count(*) AS n FROM c_orders GROUP BY 1),
-       e AS (SELECT sum(n) / count(*) AS e, count(*) AS k FROM g)
-       SELECT round(sum((n - e) * (n - e) / e), 6) AS statistic, CAST(any_value(k) - 1 AS BIGINT) AS degrees,
-              sum((n - e) * (n - e) / e) > 12.591587 AS uneven FROM g, e""",
+       e AS (SELECT sum(n) / count(*) AS e, count(*) AS k FROM g),
+       s AS (SELECT sum((n - e) * (n - e) / e) AS s, CAST(any_value(k) - 1 AS BIGINT) AS degrees FROM g, e)
+       SELECT round(s, 6) AS statistic, degrees, round(exp(-s / 2) * (1 + s / 2 + s * s / 8), 8) AS p_value, s > 12.591587 AS uneven FROM s""",
 )
 def s3b(d: Data):
     parts = agg.counts(d["orders"].select(dates.iso_weekday(F.col("order_purchase_timestamp")).alias("day")), "day")
     tested = stattests.with_chi2_p_value(stattests.chi_square_uniform(parts))
-    return rounded(tested.withColumn("uneven", F.col("p_value") < 0.05).drop("p_value"), 6, "statistic")
+    return rounded(tested.withColumn("uneven", F.col("p_value") < 0.05), {"statistic": 6, "p_value": 8})
 
 
 @query(
@@ -261,3 +268,45 @@ def s5b(d: Data):
     columns = ["price", "freight_value"]
     tested = stattests.normality(profile.fenced(d["order_items"].select(*columns), columns), columns)
     return rounded(tested, {"statistic": 4, "p_value": 6})
+
+
+def _quantile_sql(p: str) -> str:
+    """The normal quantile, with the same fixed values."""
+
+    def poly(x: str, factors) -> str:
+        out = f"{factors[0]!r}::DOUBLE"
+        for c in factors[1:]:
+            out = f"({out} * {x} + {c!r}::DOUBLE)"
+        return out
+
+    t = f"sqrt(-2 * ln(least({p}, 1 - {p})))"
+    q = f"({p} - 0.5)"
+    tail = f"{poly(t, dist.TAIL_TOP)} / {poly(t, dist.TAIL_BOTTOM)}"
+    centre = f"{q} * {poly(f'({q} * {q})', dist.CENTRE_TOP)} / {poly(f'({q} * {q})', dist.CENTRE_BOTTOM)}"
+    return f"CASE WHEN {p} < {dist.TAIL} THEN {tail} WHEN {p} > 1 - {dist.TAIL} THEN -{tail} ELSE {centre} END"
+
+
+def _rank_sql(source: str, value: str | None = None) -> str:
+    """Shapiro-Francia row by row: every value with the score of its rank."""
+    both = " UNION ALL ".join(
+        f"SELECT '{c}' AS c, CAST({value or c} AS DOUBLE) AS x FROM {source.format(c=c)}" for c in ("price", "freight_value")
+    )
+    return f"""WITH v AS ({both}), r AS (SELECT c, x, avg(x) OVER (PARTITION BY c) AS mean, count(*) OVER (PARTITION BY c) AS n,
+        (row_number() OVER (PARTITION BY c ORDER BY x) - 0.375::DOUBLE) AS i FROM v WHERE x IS NOT NULL),
+        p AS (SELECT c, n, x - mean AS d, i / (n + 0.25::DOUBLE) AS p FROM r), m AS (SELECT c, n, d, {_quantile_sql('p')} AS m FROM p),
+        w AS (SELECT c, n, sum(m * d) * sum(m * d) / (sum(m * m) * sum(d * d)) AS w FROM m GROUP BY c, n),
+        z AS (SELECT c, n, w, (ln(1 - w) + 1.2725 - 1.0521 * (ln(ln(n)) - ln(n))) / (1.0308 - 0.26758 * (ln(ln(n)) + 2 / ln(n))) AS z FROM w)
+        SELECT c AS "column", n, round(w, 7) AS statistic, round(z, 4) AS z, CAST(z < 1.6448536269514722 AS INTEGER) AS is_normal FROM z"""
+
+
+@query("s5_rank_normality", _rank_sql("c_items"))
+def s5_ranks(d: Data):
+    tested = stattests.rank_normality(d["order_items"], ["price", "freight_value"]).drop("p_value")
+    return rounded(tested, {"statistic": 7, "z": 4})
+
+
+@query("s5_rank_normality_inside_fence", _rank_sql(_FENCED, "v"))
+def s5_ranks_inside(d: Data):
+    columns = ["price", "freight_value"]
+    tested = stattests.rank_normality(profile.fenced(d["order_items"].select(*columns), columns), columns).drop("p_value")
+    return rounded(tested, {"statistic": 7, "z": 4})
