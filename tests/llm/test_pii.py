@@ -98,6 +98,7 @@ MATCHES = {
     ],
     "iban": ["DE89370400440532013000"],
     "ip": ["81.2.69.142"],
+    "ip6": ["2001:db8::1", "2001:0DB8:0:0:0:0:0:1", "fe80::1ff:fe23:4567:890a", "fd12:3456:789a::"],
     "phone": ["(736) 555-2678", "+49 736 5552", "736-555-2678"],
     "card": ["4111 1111 1111 1111"],
     "id": ["123-45-6789"],
@@ -121,3 +122,60 @@ def test_keys_without_digits_are_replaced(spark):
     out = {r["doc_id"]: r for r in pii.replace(df, KEY).collect()}
     for k, m in enumerate(keys):
         assert m not in out[k]["text"] and out[k]["n_entities"] == 1 and out[k]["kinds"] == ["secret"]
+
+
+def texts_after(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = sorted(pii.replace(df, KEY).collect(), key=lambda r: r["doc_id"])
+    return [r["text"] for r in out], [r["n_entities"] for r in out]
+
+
+def test_spellings_of_one_phone_agree(spark):
+    (t,), (n,) = texts_after(spark, ["+44 20 7946 0958, +442079460958, +44-20-7946-0958, +1 736 555 2678 and +17365552678"])
+    m = re.fullmatch(r"(\+44 \d\d \d{4} \d{4}), (\+44\d{10}), (\+44-\d\d-\d{4}-\d{4}), (\+1 \d{3} \d{3} \d{4}) and (\+1\d{10})", t)
+    bare = [re.sub("[ -]", "", x) for x in m.groups()]
+    assert bare[0] == bare[1] == bare[2] != "+442079460958" and bare[3] == bare[4] != "+17365552678" and n == 5
+
+
+def test_domains_stay_distinct(spark):
+    names = [f"{a}{b}.com" for a in "abcdefgh" for b in "abcdefgh"]
+    texts, _ = texts_after(spark, [f"x@{d} and yy@{d}" for d in names])
+    pairs = [re.fullmatch(r"[a-z]@([a-z]{2}\.com) and [a-z]{2}@([a-z]{2}\.com)", t).groups() for t in texts]
+    assert all(a == b for a, b in pairs) and len({a for a, _ in pairs}) == 64 and not {a for a, _ in pairs} & set(names)
+
+
+def test_private_and_version_six_addresses(spark):
+    texts, numbers = texts_after(spark, [
+        "172.16.3.4 172.31.0.9 172.32.0.9 192.168.1.2 127.0.0.1",
+        "2001:db8::1, 2001:0DB8:0:0:0:0:0:1; fe80::1ff:fe23:4567:890a, fd12:3456:789a::, 2001:db8::2",
+        "at 12:30:45 std::vector and a::b, ::, 1:2:3 are no addresses",
+    ])
+    octets = [[int(x) for x in a.split(".")] for a in texts[0].split()]
+    assert all(o[0] == 172 and 16 <= o[1] <= 31 for o in octets[:2]) and octets[3][:2] == [192, 168] and octets[4][0] == 127
+    one, two, link, local, other = re.split("[,;] ", texts[1])
+    import ipaddress
+
+    one, two, link, local, other = map(ipaddress.ip_address, (one, two, link, local, other))
+    assert one == two != other and link.is_link_local and local in ipaddress.ip_network("fc00::/7")
+    assert str(one) not in ("2001:db8::1", "2001:db8::2") and "::" in texts[1] and numbers == [5, 5, 0]
+    assert texts[2].startswith("at 12:30:45 std::vector")
+
+
+def test_later_mentions_of_a_person(spark):
+    texts, numbers = texts_after(spark, [
+        "Mr John Smith met us. Smith left; SMITH came back. Smithers did not.",
+        "Frau Schmidt kam mit Karla Schmidt.",
+        "Miss You is a song. You know it, and you like it.",
+        "Smith is nobody here.",
+    ])
+    m = re.fullmatch(r"Mr (\w+) (\w+) met us\. (\w+) left; (\w+) came back\. Smithers did not\.", texts[0])
+    assert m[1] in pii.GIVEN["m"] and m[1] != "John" and m[2] == m[3] == m[4].capitalize() != "Smith" and m[4].isupper() and numbers[0] == 3
+    m2 = re.fullmatch(r"Frau (\w+) kam mit Karla (\w+)\.", texts[1])
+    assert m2[1] == m2[2] != "Schmidt" and numbers[1] == 2
+    assert texts[2].endswith(" is a song. You know it, and you like it.") and texts[3] == "Smith is nobody here." and numbers[3] == 0
+
+
+def test_given_names_that_are_not_listed_keep_their_gender(spark):
+    (t,), _ = texts_after(spark, ["Mr Xaver Novak, Mrs Xenia Novak, Dr Xaver Novak and г-жа Зинаида Петрова"])
+    m = re.fullmatch(r"Mr (\w+)o (\w+), Mrs (\w+)a (\w+), Dr (\w+) (\w+) and г-жа (\w+)ия (\w+)", t)
+    assert m and m[2] == m[4] == m[6] != "Novak" and "Xaver" not in t and "Xenia" not in t and "Зинаида" not in t
