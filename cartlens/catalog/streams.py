@@ -12,7 +12,7 @@ from cartlens.catalog.base_sql import money, stamp
 from cartlens.catalog.registry import Data, query, rounded, text
 from cartlens.session import scratch_path
 from cartlens.sources import testdata
-from cartlens.streaming import joins, live, sinks, sources
+from cartlens.streaming import accounts, joins, live, sinks, sources
 
 
 def _streams(d: Data) -> dict:
@@ -137,6 +137,31 @@ def i2(d: Data):
     return sinks.drain(joined.select(*_JOINED_COLUMNS), "bounded-stream")
 
 
+@query(
+    "i2_join_account",
+    """WITH r AS (SELECT order_id, review_creation_date >= order_purchase_timestamp - INTERVAL 20 DAY
+                    AND review_creation_date <= order_purchase_timestamp + INTERVAL 20 DAY AS inside
+                  FROM c_reviews LEFT JOIN c_orders USING (order_id)),
+       o AS (SELECT order_id, customer_id, order_id IN (SELECT order_id FROM c_items) AND order_id IN (SELECT order_id FROM c_payments)
+                    AND customer_id IN (SELECT customer_id FROM c_customers) AS others, order_id IN (SELECT order_id FROM r) AS reviewed,
+                    order_id IN (SELECT order_id FROM r WHERE inside) AS reviewed_inside FROM c_orders),
+       s AS (SELECT 'orders' AS "table", CASE WHEN others AND reviewed_inside THEN 'joined' WHEN NOT others OR NOT reviewed THEN 'no partner'
+                    ELSE 'outside bound' END AS status FROM o
+             UNION ALL SELECT 'customers', CASE WHEN others AND reviewed_inside THEN 'joined' ELSE 'partner lost' END FROM c_customers JOIN o USING (customer_id)
+             UNION ALL SELECT 'order_items', CASE WHEN others AND reviewed_inside THEN 'joined' ELSE 'partner lost' END FROM c_items JOIN o USING (order_id)
+             UNION ALL SELECT 'order_payments', CASE WHEN others AND reviewed_inside THEN 'joined' ELSE 'partner lost' END FROM c_payments JOIN o USING (order_id)
+             UNION ALL SELECT 'order_reviews', CASE WHEN inside IS NULL THEN 'no partner' WHEN NOT inside THEN 'outside bound' WHEN others THEN 'joined'
+                    ELSE 'partner lost' END FROM r LEFT JOIN o USING (order_id))
+       SELECT "table", status, count(*) AS n FROM s GROUP BY ALL""",
+)
+def i2_account(d: Data):
+    streams = accounts.tagged(_arrived(d))
+    kept = sinks.drain(
+        joins.join_streams(streams, delay="10 days", within="20 days").select(*[f"{name}_row" for name in streams]), "account-joined"
+    )
+    return accounts.summary(accounts.row_statuses(accounts.log_arrivals(streams), kept, "20 days"))
+
+
 @query(
     "i3_stream_enriched_chain",
     """SELECT order_id, customer_unique_id, product_id, price, review_score, coalesce(product_category_name, 'unknown') AS product_category_name, seller_state

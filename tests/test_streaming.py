@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from cartlens.session import scratch_path
-from cartlens.streaming import joins, live, sinks, sources
+from cartlens.streaming import accounts, joins, live, sinks, sources
 
 START = datetime(2024, 1, 1)
 
@@ -133,3 +133,43 @@ def test_live_geo_figures_over_micro_batches(spark, folder):
     assert rows(got["totals"]) == rows(kpis.live_figures(d.wide))
     assert rows(got["fastest_cities"]) == rows(kpis.fastest_cities(view))
     assert rows(got["most_delayed_cities"]) == rows(kpis.most_delayed_cities(view))
+
+
+def test_account_of_a_bounded_join(spark):
+    path = scratch_path(spark, "account")
+    hour = lambda h: START + timedelta(hours=h)
+    # the second micro-batch moves all watermarks far on, which holds for late rows two later
+    batches = {
+        "orders": [[("o1", "c1", hour(0)), ("o2", "c2", hour(1)), ("o3", "c3", hour(2)), ("o4", "c4", hour(2))], [("z", "z", hour(1000))], [("y", "y", hour(1001))]],
+        "customers": [[(f"c{k}", "p", hour(1)) for k in (1, 2, 3, 4, 9)], [("z", "p", hour(1000))], [("y", "p", hour(1001))]],
+        "order_items": [[("o1", 1, hour(1)), ("o1", 1, hour(1)), ("o2", 1, hour(1)), ("o4", 1, hour(2))], [("z", 1, hour(1000))], [("y", 1, hour(1001))], [("o3", 1, hour(2))]],
+        "order_payments": [[(f"o{k}", 5, hour(1)) for k in (1, 2, 3)], [("z", 5, hour(1000))], [("y", 5, hour(1001))]],
+        "order_reviews": [[("o1", 4, hour(5)), ("o1", 3, hour(90)), ("o2", 1, hour(90)), ("o3", 2, hour(3)), ("o4", 2, hour(3))], [("z", 5, hour(1000))], [("y", 5, hour(1001))]],
+    }
+    schemas = {
+        "orders": ORDERS,
+        "customers": "customer_id string, person string, customers_at timestamp",
+        "order_items": "order_id string, item int, order_items_at timestamp",
+        "order_payments": "order_id string, paid int, order_payments_at timestamp",
+        "order_reviews": "order_id string, score int, order_reviews_at timestamp",
+    }
+    streams = {}
+    for name, parts in batches.items():
+        for n, data in enumerate(parts):
+            put(spark, f"{path}/{name}", data, schemas[name], n)
+        streams[name] = stream(spark, f"{path}/{name}", schemas[name])
+    streams = accounts.tagged(streams)
+    joined = joins.join_streams(streams, delay="1 hour", within="2 days").select("order_id", *[f"{n}_row" for n in streams])
+    kept = sinks.drain(joined, "account-kept")
+    assert sorted(r["order_id"] for r in kept.collect()) == ["o1", "o1", "y", "z"]
+    statuses = accounts.row_statuses(accounts.log_arrivals(streams), kept, "2 days")
+    got = {(r["table"], r["status"]): r["n"] for r in accounts.summary(statuses).collect()}
+    assert got == {
+        ("orders", "joined"): 3, ("orders", "outside bound"): 1, ("orders", "late"): 1, ("orders", "no partner"): 1,
+        ("customers", "joined"): 3, ("customers", "partner lost"): 2, ("customers", "late"): 1, ("customers", "no partner"): 1,
+        ("order_items", "joined"): 4, ("order_items", "partner lost"): 2, ("order_items", "late"): 1,
+        ("order_payments", "joined"): 3, ("order_payments", "partner lost"): 1, ("order_payments", "late"): 1,
+        ("order_reviews", "joined"): 3, ("order_reviews", "outside bound"): 2, ("order_reviews", "late"): 1, ("order_reviews", "partner lost"): 1,
+    }
+    # every row that arrived has one status
+    assert sum(got.values()) == sum(len(p) for parts in batches.values() for p in parts)
