@@ -24,7 +24,8 @@ from cartlens.llm.common import fresh
 from cartlens.session import materialize, scratch_path
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-CAPITALISED = r"\p{Lu}[\p{Ll}\p{M}'’]+(?:-\p{Lu}[\p{Ll}]+)?"
+# with inner capitals and apostrophes, as in McBride and O'Hara, but without a possessive s
+CAPITALISED = r"\p{Lu}(?:[\p{Ll}\p{M}]|['’](?!s(?!\p{L}))\p{L}|(?<=\p{Ll})\p{Lu}(?=\p{Ll}))+(?:-\p{Lu}[\p{Ll}]+)?"
 # Forms of address with the gender they tell, and frequent given names by gender and script.
 TITLES = {
     "m": ("Mr", "Herr", "Monsieur", "Señor", "Don", "Signor", "г-н", "господин", "κύριος"),

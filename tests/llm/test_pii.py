@@ -179,3 +179,10 @@ def test_given_names_that_are_not_listed_keep_their_gender(spark):
     (t,), _ = texts_after(spark, ["Mr Xaver Novak, Mrs Xenia Novak, Dr Xaver Novak and г-жа Зинаида Петрова"])
     m = re.fullmatch(r"Mr (\w+)o (\w+), Mrs (\w+)a (\w+), Dr (\w+) (\w+) and г-жа (\w+)ия (\w+)", t)
     assert m and m[2] == m[4] == m[6] != "Novak" and "Xaver" not in t and "Xenia" not in t and "Зинаида" not in t
+
+
+def test_inner_capitals_and_possessives(spark):
+    (t,), (n,) = texts_after(spark, ["Mr O'Hara, Mrs McBride and Dr Novak's son. Novak's house; O'Hara’s and McBride too."])
+    m = re.fullmatch(r"Mr (\w+), Mrs (\w+) and Dr (\w+)'s son\. (\w+)'s house; (\w+)’s and (\w+) too\.", t)
+    assert m and m.groups()[:3] == (m[5], m[6], m[4]) and n == 6
+    assert not {"Hara", "Bride", "Novak"} & set(re.findall("[A-Z][a-z]+", t))
