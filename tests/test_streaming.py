@@ -89,6 +89,15 @@ def test_console_and_json_sink_start(spark, capfd):
         sources.kafka_stream(spark, "localhost:9", "t")
 
 
+def test_console_brings_first_rows_only_to_the_driver(spark, capfd):
+    path = scratch_path(spark, "console")
+    put(spark, f"{path}/in", [(START, f"a{n}", 1.0) for n in range(30)], SALES, 1)
+    sinks.to_console(stream(spark, f"{path}/in", SALES), f"{path}/checkpoint").awaitTermination()
+    out = capfd.readouterr().out
+    assert "Batch: 0" in out and "|a19" in out.replace(" ", "") and "|a20" not in out.replace(" ", "")
+    assert "only showing top 20 rows" in out and "rows: 30" in out
+
+
 ORDERS = "order_id string, customer_id string, orders_at timestamp"
 
 
