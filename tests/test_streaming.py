@@ -1,5 +1,6 @@
 """Streams against their batch twins, late rows, idempotent batches and pacing."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -101,6 +102,28 @@ def test_console_brings_first_rows_only_to_the_driver(spark, capfd):
 ORDERS = "order_id string, customer_id string, orders_at timestamp"
 
 
+def test_join_state_is_written_once_and_in_one_store(spark):
+    path = scratch_path(spark, "state")
+    put(spark, f"{path}/o", [("o1", "c1", START)], ORDERS, 1)
+    streams = {"orders": stream(spark, f"{path}/o", ORDERS)}
+    for name, key in joins.CHAIN:
+        schema = f"{key} string, {name}_value int, {name}_at timestamp"
+        put(spark, f"{path}/{name}", [("c1" if key == "customer_id" else "o1", 1, START)], schema, 1)
+        streams[name] = stream(spark, f"{path}/{name}", schema)
+    joined = joins.join_streams(streams, delay="1 hour", within="2 days").select("order_id")
+    sinks.to_files(joined, f"{path}/rows", f"{path}/checkpoint", empty_batches=False).awaitTermination()
+    assert spark.read.parquet(f"{path}/rows").count() == 1
+    names = lambda at: [f for f in os.listdir(at) if not f.startswith(".") and f != "_metadata"]
+    # no second micro-batch, which would only write the state again
+    assert names(f"{path}/checkpoint/commits") == ["0"]
+    # the four parts of a join's state lie in one store
+    stores = [names(f"{path}/checkpoint/state/{join}/0") for join in range(len(joins.CHAIN))]
+    assert not [f for store in stores for f in store if f.startswith(("left-", "right-"))]
+    # items multiply the rows of an order, so nothing is joined behind them
+    assert joins.CHAIN[-1][0] == "order_items"
+    assert spark.conf.get(sinks.EMPTY_BATCHES) == "true"
+
+
 def test_bounded_join_drops_what_arrives_too_late(spark):
     path = scratch_path(spark, "bounded")
     hour = lambda h: START + timedelta(hours=h)
