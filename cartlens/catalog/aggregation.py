@@ -42,15 +42,12 @@ def e3(d: Data):
 )
 def e3b(d: Data):
     """Exact counts, and whether the sketches (2 % standard error) lie within a tenth of them."""
-    exact, sketch = {}, {}
-    for name, column in (("orders", "order_id"), ("products", "product_id")):
-        exact[name] = F.count_distinct(column).alias(name)
-        sketch[name] = F.approx_count_distinct(column, 0.02).alias(f"{name}_sketch")
-    rows = d["order_items"].groupBy("seller_id").agg(*exact.values(), *sketch.values())
+    counted = {"orders": "order_id", "products": "product_id"}
+    rows = agg.distinct_and_sketched(d["order_items"], "seller_id", counted, 0.02)
     near = F.lit(True)
-    for name in exact:
+    for name in counted:
         near = near & (F.abs(F.col(f"{name}_sketch") - F.col(name)) <= F.greatest(F.col(name) * 0.1, F.lit(1.0)))
-    return rows.select("seller_id", *exact, near.alias("near"))
+    return rows.select("seller_id", *counted, near.alias("near"))
 
 
 @query(

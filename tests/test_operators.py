@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from conftest import rows, values
 from pyspark.sql import functions as F
 
@@ -226,3 +227,17 @@ def test_large_values_with_a_small_spread(spark):
     assert abs(f[0] - f[1]) < 1e-4 * f[0]
     c = [{(r[0], r[1]): r[2] for r in weighted.correlation_pairs(d, ["x", "y"], "n").collect()} for d in (small, large)]
     assert all(abs(c[0][k] - c[1][k]) < 1e-6 for k in c[0])
+
+
+def test_distinct_and_sketched_by_key(spark):
+    data = [(k, n % m, n % 7) for k, m in (("hot", 900), ("few", 3), (None, 5)) for n in range(1000)] + [("none", None, None)]
+    df = spark.createDataFrame(data, "k string, a int, b int")
+    for limit in ({}, {"hot_share": 0.01, "part_rows": 100}):
+        got = agg.distinct_and_sketched(df, "k", {"x": "a", "y": "b"}, 0.02, **limit)
+        assert {tuple(r)[0::2] for r in got.select("k", "x_sketch", "x", "y_sketch", "y").collect()} == {
+            ("hot", 900, 7), ("few", 3, 7), (None, 5, 7), ("none", 0, 0)
+        }
+        for r in got.collect():
+            assert abs(r["x_sketch"] - r["x"]) <= 0.1 * r["x"] and r["y_sketch"] == r["y"]
+        # sketches are made of rows that lie with their key, not beside every distinct pair
+        assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
