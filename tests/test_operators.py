@@ -241,3 +241,17 @@ def test_distinct_and_sketched_by_key(spark):
             assert abs(r["x_sketch"] - r["x"]) <= 0.1 * r["x"] and r["y_sketch"] == r["y"]
         # sketches are made of rows that lie with their key, not beside every distinct pair
         assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_value_listing_of_counted_rows(spark):
+    df = spark.createDataFrame([("a", 1, 2), ("b", 1, 5), (None, 2, 7)], f"c string, m int, {agg.JOINED_ROWS} bigint")
+    assert rows(agg.value_listing(df, ["c", "m"])) == [("c", "a", 2), ("c", "b", 5), ("m", "1", 7), ("m", "2", 7)]
+
+
+def test_low_cardinality_values_come_from_reduced_tables(spark, folder, monkeypatch):
+    from cartlens.catalog import cleaning
+    from cartlens.catalog.registry import Data
+
+    # the rows of the wide join are not made
+    monkeypatch.setattr(Data, "raw_wide", property(lambda self: pytest.fail("joins all rows")))
+    assert cleaning.b19(Data(spark, folder)).count() == 8
