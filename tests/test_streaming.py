@@ -205,3 +205,19 @@ def test_account_of_a_bounded_join(spark):
     }
     # every row that arrived has one status
     assert sum(got.values()) == sum(len(p) for parts in batches.values() for p in parts)
+
+
+def test_drained_streams_keep_progress_by_plain_renames(spark, monkeypatch):
+    """Their checkpoint is new, so no other query needs to be kept off it; other streams keep Spark's default."""
+    key, seen = next(iter(sinks.LONE_CONF)), []
+    monkeypatch.setattr(sinks, "to_files", lambda *a, old=sinks.to_files, **kw: seen.append(kw.get("alone")) or old(*a, **kw))
+    path = scratch_path(spark, "lone")
+    spark.range(50).repartition(5).write.parquet(path)
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(path)
+    assert rows(sinks.drain(stream, "lone")) == sorted([(n,) for n in range(50)], key=str) and seen == [True]
+    before = spark.conf.get(key, None)
+    with sinks.stream_settings(spark, alone=True):
+        assert spark.conf.get(key) == sinks.LONE_CONF[key]
+    assert spark.conf.get(key, None) == before
+    with sinks.stream_settings(spark):
+        assert spark.conf.get(key, None) == before
