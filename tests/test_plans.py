@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from cartlens import schemas
 from cartlens.operators import evaluation
-from cartlens.plans import explore, kpis, rfm, wide
+from cartlens.models import churn
+from cartlens.plans import explore, factored, kpis, rfm, wide
 from cartlens.plans.features import CustomerFacts, customer_rollup, late_per_customer
 
 
@@ -315,3 +316,12 @@ def test_fence_of_an_empty_column(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
     got = {r["column"]: (r["inliers"], r["outliers"]) for r in quantiles.iqr_counts(df, ["a", "b"]).collect()}
     assert got == {"a": (2, 0), "b": (0, 0)}
+
+
+def test_training_rows_meet_their_persons_before_they_multiply(shop, facts):
+    cleaned = wide.cleaned_tables(shop, drop=False)
+    early = churn.labelled_rows(CustomerFacts(facts.wide, factored.order_facts(cleaned), cleaned))
+    assert rows(early) == rows(churn.labelled_rows(facts)) and early.count() == 6
+    plan = early._jdf.queryExecution().optimizedPlan().toString()
+    # the joined rows are made distinct once, and never moved by person
+    assert len([x for x in plan.splitlines() if "Aggregate [" in x and "price" in x]) == 1
